@@ -21,6 +21,11 @@ def _day(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd")
 
 
+def _money(total: Column) -> Column:
+    """A sum rounded to cents; noise beyond six digits must not decide which way."""
+    return F.round(F.round(total, 6), 2)
+
+
 def shipdate_filter(lineitem: DataFrame, date: str) -> DataFrame:
     """Line items whose ship date contains ``date``."""
     return lineitem.where(in_date_fragment(lineitem, "l_shipdate", date))
@@ -187,10 +192,10 @@ def pricing_summary(lineitem: DataFrame, date: str) -> DataFrame:
         shipdate_filter(lineitem, date)
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
-            F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
-            F.round(F.sum("l_extendedprice"), 2).alias("sum_base_price"),
-            F.round(F.sum(net), 2).alias("sum_disc_price"),
-            F.round(F.sum(net * (1 + F.col("l_tax"))), 2).alias("sum_charge"),
+            _money(F.sum("l_quantity")).alias("sum_qty"),
+            _money(F.sum("l_extendedprice")).alias("sum_base_price"),
+            _money(F.sum(net)).alias("sum_disc_price"),
+            _money(F.sum(net * (1 + F.col("l_tax")))).alias("sum_charge"),
             F.round(F.avg("l_quantity"), 6).alias("avg_qty"),
             F.round(F.avg("l_extendedprice"), 6).alias("avg_price"),
             F.round(F.avg("l_discount"), 6).alias("avg_disc"),
@@ -217,9 +222,7 @@ def unshipped_revenue_topk(
         lineitem.where(date_after(lineitem, "l_shipdate", date))
         .groupBy("l_orderkey")
         .agg(
-            F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias(
-                "revenue"
-            )
+            _money(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("revenue")
         )
     )
     early = orders.where(date_before(orders, "o_orderdate", date)).select(

@@ -127,6 +127,33 @@ SCORED = f"""{MODELS}, scored AS (
     SELECT doc_id, model_id, sum(weight) AS score
     FROM occurrences JOIN models USING (feature) GROUP BY ALL) s
   ON s.doc_id = i.doc_id AND s.model_id = m.model_id)"""
+
+
+def _trained(instances: str) -> str:
+    """Online training, one document per model and step; ``instances`` gives the order."""
+    return f"""numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY order_key, doc_id) AS step
+  FROM ({instances}) WHERE len(features) > 0),
+uses AS (SELECT model_id, step, label, feature, count(*) AS times
+  FROM (SELECT model_id, step, label, unnest(features) AS feature FROM numbered) GROUP BY ALL),
+trained(model_id, feature, weight, step) USING KEY (model_id, feature) AS (
+  SELECT DISTINCT model_id, feature, 0.0::DOUBLE, 0::BIGINT FROM uses
+  UNION
+  SELECT u.model_id, u.feature, t.weight + u.times * 0.002::DOUBLE * (u.label - 1 / (1 + exp(
+    -sum(t.weight * u.times) OVER (PARTITION BY u.model_id)))), u.step
+  FROM (SELECT model_id, max(step) AS step FROM trained GROUP BY model_id) done
+  JOIN uses u ON u.model_id = done.model_id AND u.step = done.step + 1
+  JOIN recurring.trained t ON t.model_id = u.model_id AND t.feature = u.feature)"""
+
+
+ROC = """ranked AS (SELECT model_id, label, rank() OVER w
+    + (count(*) OVER (PARTITION BY model_id, score) - 1) / 2.0::DOUBLE AS place
+  FROM r WINDOW w AS (PARTITION BY model_id ORDER BY score)),
+sums AS (SELECT model_id, sum(CASE WHEN label = 1 THEN place END) AS places,
+    count(*) FILTER (label = 1) AS spam, count(*) FILTER (label <> 1) AS ham
+  FROM ranked GROUP BY model_id)
+SELECT model_id, round((1 - (places - spam * (spam + 1) / 2.0::DOUBLE) / (spam * ham)) * 100, 6)
+  + 0.0 AS one_minus_roca FROM sums"""
 ANSWER = "CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS answer"
 
 SHIPPED = "CAST(l_shipdate AS DATE) = DATE '1996-01-02'"
@@ -231,14 +258,14 @@ JOIN nation ON c_nationkey = n_nationkey WHERE {SHIPPED} GROUP BY ALL""",
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey WHERE n_name IN ('NATION_2', 'NATION_3') GROUP BY ALL""",
         "pricing_summary": f"""SELECT l_returnflag, l_linestatus,
-  round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price,
-  round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price,
-  round(sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 2) AS sum_charge,
+  round(sum(l_quantity)::DECIMAL(38, 6), 2)::DOUBLE AS sum_qty, round(sum(l_extendedprice)::DECIMAL(38, 6), 2)::DOUBLE AS sum_base_price,
+  round(sum(l_extendedprice * (1 - l_discount))::DECIMAL(38, 6), 2)::DOUBLE AS sum_disc_price,
+  round(sum(l_extendedprice * (1 - l_discount) * (1 + l_tax))::DECIMAL(38, 6), 2)::DOUBLE AS sum_charge,
   round(avg(l_quantity), 6) AS avg_qty, round(avg(l_extendedprice), 6) AS avg_price,
   round(avg(l_discount), 6) AS avg_disc, count(*) AS count_order
 FROM lineitem WHERE {SHIPPED} GROUP BY ALL""",
         "unshipped_revenue_topk": f"""SELECT c_name, o_orderkey,
-  round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue,
+  round(sum(l_extendedprice * (1 - l_discount))::DECIMAL(38, 6), 2)::DOUBLE AS revenue,
   strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority AS priority
 FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey
 WHERE strftime(o_orderdate, '%Y-%m-%d') < '1996-01-02' AND {SHIPDATE_TEXT} > '1996-01-02'
@@ -326,6 +353,16 @@ FROM placed WHERE place <= 10""",
   lambda w: {FEATURE.format('w')})) AS feature FROM documents""",
         "shuffle_instances": """SELECT md5('1:' || doc_id) AS order_key, doc_id, toxic AS label
 FROM documents JOIN labels USING (doc_id)""",
+        "train_sgd": f"""WITH RECURSIVE {INSTANCES}, {_trained(
+            "SELECT (doc_id % 3)::INT AS model_id, md5('1:' || doc_id) AS order_key, * FROM inst"
+        )} SELECT model_id, feature, round(weight, 8) + 0.0 AS weight FROM trained""",
+        "shuffle_trials": f"""WITH RECURSIVE {INSTANCES}, {_trained(
+            "SELECT seed::INT AS model_id, md5(seed || ':' || doc_id) AS order_key, * FROM inst, range(1, 11) AS seeds(seed)"
+        )}, r AS (SELECT seed::INT AS model_id, i.label, round(coalesce(s.score, 0), 10) AS score
+  FROM inst i CROSS JOIN range(1, 11) AS seeds(seed) LEFT JOIN (
+    SELECT doc_id, model_id, sum(weight) AS score
+    FROM occurrences JOIN trained USING (feature) GROUP BY ALL) s
+  ON s.doc_id = i.doc_id AND s.model_id = seed), {ROC}""",
         "train_batch": f"""WITH {INSTANCES},
 s1 AS (SELECT feature, sum((label - 0.5::DOUBLE) * 0.002::DOUBLE) AS weight
   FROM occurrences GROUP BY feature),
@@ -346,14 +383,7 @@ SELECT doc_id, label, round(score, 6) + 0.0 AS score, {ANSWER} FROM e""",
 SELECT doc_id, label, score, {ANSWER} FROM e""",
         "one_minus_roca": f"""WITH {SCORED},
 r AS (SELECT model_id, label, round(score, 4) AS score FROM scored),
-ranked AS (SELECT model_id, label, rank() OVER w
-    + (count(*) OVER (PARTITION BY model_id, score) - 1) / 2.0::DOUBLE AS place
-  FROM r WINDOW w AS (PARTITION BY model_id ORDER BY score)),
-sums AS (SELECT model_id, sum(CASE WHEN label = 1 THEN place END) AS places,
-    count(*) FILTER (label = 1) AS spam, count(*) FILTER (label <> 1) AS ham
-  FROM ranked GROUP BY model_id)
-SELECT model_id, round((1 - (places - spam * (spam + 1) / 2.0::DOUBLE) / (spam * ham)) * 100, 6)
-  + 0.0 AS one_minus_roca FROM sums""",
+{ROC}""",
         "event_count_tumbling": f"""WITH w AS ({_windows(HOUR, '1 hour')})
 SELECT {STAMPS}, n FROM w""",
         "event_count_tumbling_stream": f"""WITH w AS ({_windows(HOUR, '1 hour')})
