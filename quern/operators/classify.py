@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.plans.scratch import materialized
+from quern.plans.scratch import checkpointed, stored
 from quern.plans.skew import hot_keys, sliced_join
 
 # The learning rate and the two answers.
@@ -106,12 +106,15 @@ def feature_counts(instances: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _scores(counts: DataFrame, weights: DataFrame, per: list[str]) -> DataFrame:
-    """Sum of times x weight per document (and model); features without weight count 0."""
+def _hot_features(counts: DataFrame) -> DataFrame:
     spread = counts.groupBy("feature").agg(F.count("*").alias("documents"))
-    hot = hot_keys(spread, "feature", "documents")
+    return checkpointed(hot_keys(spread, "feature", "documents"))
+
+
+def _scores(counts: DataFrame, weights: DataFrame, hot: DataFrame, per: list[str]) -> DataFrame:
+    """Sum of times x weight per document (and model); features without weight count 0."""
     return (
-        sliced_join(counts, weights, "feature", hot, ["doc_id"], "inner")
+        sliced_join(counts, weights, "feature", hot, ["doc_id"])
         .groupBy(*per)
         .agg(F.sum(F.col("times") * F.col("weight")).alias("score"))
     )
@@ -124,14 +127,15 @@ def train_batch(instances: DataFrame, steps: int, rate: float = RATE) -> DataFra
     of documents by feature, then the error of each document back to its features. Not
     the numbers of the online pass, by design: all documents see the same weights.
     """
-    counts = materialized(feature_counts(instances).repartition("doc_id"))
+    counts = stored(feature_counts(instances), "features")
+    hot = _hot_features(counts)
     labels = instances.select("doc_id", F.col("label").cast("double").alias("label"))
     weights = None
     for step in range(steps):
         if weights is None:
             scored = labels.withColumn("score", F.lit(0.0))
         else:
-            scored = labels.join(_scores(counts, weights, ["doc_id"]), "doc_id", "left")
+            scored = labels.join(_scores(counts, weights, hot, ["doc_id"]), "doc_id", "left")
         probability = 1 / (1 + F.exp(-F.coalesce("score", F.lit(0.0))))
         errors = scored.select("doc_id", ((F.col("label") - probability) * rate).alias("error"))
         moves = counts.join(errors, "doc_id").select(
@@ -139,14 +143,16 @@ def train_batch(instances: DataFrame, steps: int, rate: float = RATE) -> DataFra
         )
         if weights is not None:
             moves = moves.unionByName(weights)
-        weights = materialized(moves.groupBy("feature").agg(F.sum("weight").alias("weight")))
+        weights = stored(
+            moves.groupBy("feature").agg(F.sum("weight").alias("weight")), "weights"
+        )
     return weights
 
 
 def score_documents(instances: DataFrame, models: DataFrame) -> DataFrame:
-    """``(doc_id, label, model_id, score, answer)`` for every document and model."""
-    counts = feature_counts(instances)
-    scores = _scores(counts, models, ["doc_id", "model_id"])
+    """``(doc_id, label, model_id, score, answer)`` for every document and stored model."""
+    counts = stored(feature_counts(instances), "features")
+    scores = _scores(counts, models, _hot_features(counts), ["doc_id", "model_id"])
     # Documents without any known feature still get a score of 0 from every model.
     model_ids = F.array_sort(F.collect_set("model_id"))
     all_models = models.select("model_id").distinct().agg(model_ids.alias("ids")).scalar()
@@ -193,6 +199,6 @@ def shuffle_trials(
         "label",
         "features",
     ).withColumn("order_key", order_key(F.col("model_id")))
-    scored = score_documents(test, train_sgd(seeded, rate))
+    scored = score_documents(test, stored(train_sgd(seeded, rate), "models"))
     # Scores that agree to ten digits are ties: the order of summing must not show.
     return one_minus_roca(scored.withColumn("score", F.round("score", 10)))

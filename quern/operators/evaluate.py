@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quern.plans.scratch import stored
+
 BANDS = 256
 ACCURACY = 10_000
 
@@ -21,9 +23,12 @@ def one_minus_roca(
     sum and to all lower bands by their totals. Any cut gives the exact area; the bands
     only decide how the sorting is spread.
     """
-    points = scored.groupBy(group, "score").agg(
-        F.count_if(F.col("label") == 1).alias("spam"),
-        F.count_if(F.col("label") != 1).alias("ham"),
+    points = stored(
+        scored.groupBy(group, "score").agg(
+            F.count_if(F.col("label") == 1).alias("spam"),
+            F.count_if(F.col("label") != 1).alias("ham"),
+        ),
+        "points",
     )
     cuts = points.groupBy(group).agg(
         F.percentile_approx("score", [i / bands for i in range(1, bands)], ACCURACY).alias("cuts")

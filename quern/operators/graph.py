@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.plans.scratch import stored
 from quern.plans.skew import ROWS_PER_SLICE, hot_keys, sliced_join, with_slice
 
 
@@ -25,7 +26,7 @@ def graph_nodes(
     ``ranks`` is the start rank for each source: 1 on the source itself, else 0. A node
     with more than ``neighbours_per_row`` out-edges is stored in several slices.
     """
-    degrees = out_degrees(edges).withColumnRenamed("src", "node_id")
+    degrees = stored(out_degrees(edges).withColumnRenamed("src", "node_id"), "degrees")
     hot = hot_keys(degrees, "node_id", "out_degree", neighbours_per_row)
     links = with_slice(edges.withColumnRenamed("src", "node_id"), "node_id", hot, ["dst"])
     adjacency = links.groupBy("node_id", "slice").agg(
@@ -92,12 +93,12 @@ def weighted_links(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     weights of every node add up to 1.
     """
     repeated = edges.groupBy("src", "dst").agg(F.count("*").alias("times"))
-    degrees = out_degrees(edges)
+    degrees = stored(out_degrees(edges), "degrees")
     shares = sliced_join(
         repeated, degrees, "src", hot_keys(degrees, "src", "out_degree"), ["dst"]
     ).select("src", "dst", (F.col("times") / F.col("out_degree")).alias("weight"))
 
-    in_degrees = edges.groupBy("dst").agg(F.count("*").alias("in_degree"))
+    in_degrees = stored(edges.groupBy("dst").agg(F.count("*").alias("in_degree")), "degrees")
     known = nodes.select(F.col("node_id").alias("dst"), F.lit(True).alias("known"))
     reached = sliced_join(
         shares, known, "dst", hot_keys(in_degrees, "dst", "in_degree"), ["src"], "left"

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern.functions.tokens import tokens
+from quern.plans.scratch import stored
 from quern.plans.skew import hot_keys, sliced_join
 from quern.sources.lines import LINES_PER_DOCUMENT
 
@@ -52,11 +53,12 @@ def dictionary(blocks: DataFrame) -> DataFrame:
 
 def inverted_index(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(term, df, block, postings)``."""
-    return with_df(posting_blocks(lines, block))
+    return with_df(stored(posting_blocks(lines, block), "postings"))
 
 
 def with_df(blocks: DataFrame) -> DataFrame:
-    terms = dictionary(blocks)
+    """Stored posting blocks with the number of lines of their term."""
+    terms = stored(dictionary(blocks), "dictionary")
     return sliced_join(blocks, terms, "term", hot_keys(terms, "term", "df"), ["block"]).select(
         "term", "df", "block", "postings"
     )
@@ -69,7 +71,7 @@ def flat(blocks: DataFrame) -> DataFrame:
 
 
 def encode_gaps(blocks: DataFrame) -> DataFrame:
-    """``(term, block, gaps)`` with gaps = array of (gap, tf).
+    """``(term, block, gaps)`` of stored blocks, with gaps = array of (gap, tf).
 
     The first gap of a block counts from the last id of the term's previous block, the
     very first from 0.
@@ -95,7 +97,7 @@ def encode_gaps(blocks: DataFrame) -> DataFrame:
 
 
 def decode_gaps(encoded: DataFrame) -> DataFrame:
-    """Inverse of ``encode_gaps``: running sums within blocks, and over the block totals."""
+    """Inverse of ``encode_gaps`` on a stored table: running sums within and over blocks."""
     in_block = W.partitionBy("term", "block").orderBy("pos")
     rows = encoded.select("term", "block", F.posexplode("gaps").alias("pos", "entry")).select(
         "term", "block", F.col("entry.tf").alias("tf"),

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern.operators.graph import graph_duplicate_nodes, weighted_links
-from quern.plans.scratch import fresh_path, materialized
+from quern.plans.scratch import checkpointed, fresh_path, stored
 from quern.plans.skew import ROWS_PER_SLICE, hot_keys, per_slice, with_slice
 
 # Fixed value: the chance of a jump back to the source.
@@ -49,14 +49,14 @@ def prepare_links(
     twice = graph_duplicate_nodes(nodes).limit(1).count()
     if twice:
         raise ValueError("a node id has more than one record")
-    weighted = materialized(weighted_links(nodes, edges))
+    weighted = stored(weighted_links(nodes, edges), "links")
     counts = weighted.groupBy("src").agg(F.count("*").alias("links"))
-    hot = materialized(hot_keys(counts, "src", "links", links_per_slice))
+    hot = checkpointed(hot_keys(counts, "src", "links", links_per_slice))
     rows = with_slice(weighted, "src", hot, ["dst", "weight"])
     # A fixed number of partitions is kept by adaptive execution, so that every
     # iteration finds the links already in place for its join.
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return Links(materialized(rows.repartition(parts, "src", "slice")), hot)
+    return Links(checkpointed(rows.repartition(parts, "src", "slice")), hot)
 
 
 def initial_ranks(nodes: DataFrame, sources: Sequence[int]) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.plans.scratch import stored
+
 # Window lengths and alert thresholds.
 COUNT_WINDOW = "60 minutes"
 TREND_WINDOW = "10 minutes"
@@ -82,6 +84,7 @@ def window_state_history(counts: DataFrame, key: str, length: str) -> DataFrame:
     The previous count of a window is the count one window length earlier, so counts are
     also laid one window ahead and meet there in a sum; no ordered walk along a key.
     """
+    counts = stored(counts, "windows")
     step = F.expr(f"INTERVAL {length}")
     filled = with_silent_windows(counts, key, length)
     end = counts.agg(F.max("window_start")).scalar()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions.features import hashed_feature
 from quern.functions.regions import Box
 from quern.functions.tokens import tokens
+from quern.plans.scratch import stored
 from quern.sources.lines import scan_lines
 from quern.sources.tables import scan_parquet
 
@@ -51,17 +52,17 @@ def instances(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents: label 1 for toxic ones, one hashed feature per token of the text."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
     words = table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
-    return words.select(
-        "doc_id", "label", F.transform(tokens("text"), hashed_feature).alias("features")
-    )
+    features = F.transform(tokens("text"), hashed_feature).alias("features")
+    return stored(words.select("doc_id", "label", features), "instances")
 
 
 def formula_models(rows: DataFrame, models: int) -> DataFrame:
     """Weights for every feature of the instances by a fixed rule, different per model."""
     features = rows.select(F.explode("features").alias("feature")).distinct()
     ids = F.explode(F.sequence(F.lit(1), F.lit(models)))
-    return features.select(ids.alias("model_id"), "feature").withColumn(
-        "weight", ((F.col("feature") * F.col("model_id")) % 201 - 100) / 1000.0
+    weight = ((F.col("feature") * F.col("model_id")) % 201 - 100) / 1000.0
+    return stored(
+        features.select(ids.alias("model_id"), "feature").withColumn("weight", weight), "models"
     )
 
 
@@ -73,9 +74,9 @@ def trade_edges(spark: SparkSession, folder: str, repeated: bool = False) -> Dat
     part = F.col("l_partkey") + PART_OFFSET
     buys = joined.select(F.col("o_custkey").alias("src"), part.alias("dst"))
     sold = lines.select(part.alias("src"), (F.col("l_suppkey") + SUPPLIER_OFFSET).alias("dst"))
-    if repeated:
-        return buys.unionAll(sold)
-    return buys.distinct().unionAll(sold.distinct())
+    if not repeated:
+        buys, sold = buys.distinct(), sold.distinct()
+    return stored(buys.unionAll(sold), "edges")
 
 
 def trade_nodes(spark: SparkSession, folder: str, small_parts: bool = True) -> DataFrame:
@@ -104,7 +105,7 @@ def cyclic_edges(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.col("c").alias("src"), F.col("p").alias("dst")),
         F.struct(F.col("p").alias("src"), F.col("c").alias("dst")),
     )
-    return pairs.select(F.inline(both))
+    return stored(pairs.select(F.inline(both)), "edges")
 
 
 BOXES = (Box("west", 10, 40, 5, 50), Box("east", 80, 120, 20, 90))

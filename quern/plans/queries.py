@@ -36,7 +36,7 @@ from quern.plans.inputs import (
     trade_edges,
     trade_nodes,
 )
-from quern.plans.scratch import fresh_path
+from quern.plans.scratch import fresh_path, stored
 from quern.sources import graphs, sinks, tables
 from quern.sources import instances as labelled
 from quern.streaming import replay
@@ -410,14 +410,14 @@ NARROW_BLOCK = 50_000_000
 
 @query
 def postings_gaps(spark, sf):
-    blocks = index.posting_blocks(text_lines(spark, sf), NARROW_BLOCK)
+    blocks = stored(index.posting_blocks(text_lines(spark, sf), NARROW_BLOCK), "postings")
     return index.encode_gaps(blocks).select("term", F.inline("gaps"))
 
 
 @query
 def postings_gaps_decode(spark, sf):
-    blocks = index.posting_blocks(text_lines(spark, sf), NARROW_BLOCK)
-    decoded = index.decode_gaps(index.encode_gaps(blocks))
+    blocks = stored(index.posting_blocks(text_lines(spark, sf), NARROW_BLOCK), "postings")
+    decoded = index.decode_gaps(stored(index.encode_gaps(blocks), "gaps"))
     return index.flat(decoded).select("term", "line_id", "tf")
 
 

@@ -30,7 +30,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialized(rows: DataFrame) -> DataFrame:
-    """``rows`` computed once into the shared folder, for plans that read them repeatedly."""
+def stored(rows: DataFrame, label: str = "stored") -> DataFrame:
+    """``rows`` written once as a table in the shared folder, for plans that read it repeatedly.
+
+    The files outlive any executor, are read by column, and tell the planner their size.
+    """
+    spark = rows.sparkSession
+    path = fresh_path(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """``rows`` saved below the shared folder in the partitioning they have."""
     shared_folder(rows.sparkSession)
     return rows.checkpoint(eager=True)
