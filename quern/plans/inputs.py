@@ -51,7 +51,8 @@ def day(name: str) -> Column:
 def instances(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents: label 1 for toxic ones, one hashed feature per token of the text."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
-    words = table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    words = documents.join(labels, "doc_id")
     features = F.transform(tokens("text"), hashed_feature).alias("features")
     return stored(words.select("doc_id", "label", features), "instances")
 

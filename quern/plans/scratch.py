@@ -16,13 +16,15 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    named = spark.conf.get(SETTING, None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="quern-")
-        spark.conf.set(SETTING, named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="quern-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

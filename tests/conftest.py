@@ -4,9 +4,8 @@ from quern.plans.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session(cores=8, memory="6g", name="quern-tests")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
