@@ -6,9 +6,9 @@ its weighted links; what is lost on the way (no out-edges, or a target without n
 record) goes back to the source. Lost shares are links without target, so one join
 and one sum per iteration move all the mass.
 
-The links are laid out once by (src, slice) and keep that layout for every iteration.
-Nodes with very many links are cut into slices, and their rank rows are repeated per
-slice. Each iteration is written to the shared folder: that is the state a later run
+The links are laid out and sorted once by (src, slice) and kept so for every iteration;
+only rank rows move. Nodes with very many links are cut into slices, and their rank rows
+are repeated per slice. Each iteration is written to the shared folder: that is the state a later run
 resumes from, and it keeps the plan of an iteration free of all earlier ones.
 """
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,6 +37,9 @@ class Links:
     rows: DataFrame
     hot: DataFrame
 
+    def release(self) -> None:
+        self.rows.unpersist()
+
     def of(self, ranks: DataFrame) -> DataFrame:
         """Every rank row with every link of its node."""
         placed = per_slice(ranks.withColumnRenamed("node_id", "src"), "src", self.hot)
@@ -53,10 +57,14 @@ def prepare_links(
     counts = weighted.groupBy("src").agg(F.count("*").alias("links"))
     hot = checkpointed(hot_keys(counts, "src", "links", links_per_slice))
     rows = with_slice(weighted, "src", hot, ["dst", "weight"])
-    # A fixed number of partitions is kept by adaptive execution, so that every
-    # iteration finds the links already in place for its join.
+    # With a fixed number of partitions the cached links satisfy the join of every
+    # iteration as they are; the planner knows their layout once they have been counted.
+    # Cached blocks of a lost executor are rebuilt from the stored table of links.
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return Links(checkpointed(rows.repartition(parts, "src", "slice")), hot)
+    placed = rows.repartition(parts, "src", "slice").sortWithinPartitions("src", "slice")
+    placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
+    placed.count()
+    return Links(placed, hot)
 
 
 def initial_ranks(nodes: DataFrame, sources: Sequence[int]) -> DataFrame:
@@ -130,6 +138,7 @@ def personalized_pagerank(
         ranks = read_ranks(spark, state, done)
         after = ppr_iteration(links, ranks, jump)
         after.write.mode("overwrite").parquet(iteration_path(state, done + 1))
+    links.release()
     return read_ranks(spark, state, iterations)
 
 

@@ -3,6 +3,7 @@
 import pytest
 
 from quern.operators import graph, pagerank
+from quern.plans.scratch import stored
 from quern.sources.graphs import adjacency_edges, adjacency_nodes, scan_adjacency
 
 # 1 -> 2 -> 3 -> 1 with a repeated edge, 4 dangling, 9 without record.
@@ -107,7 +108,16 @@ def test_topk(spark):
 
 def test_links_stay_in_place(tiny):
     links = pagerank.prepare_links(*tiny)
-    after = pagerank.ppr_iteration(links, pagerank.initial_ranks(tiny[0], [1]))
-    plan = after._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "weight" in line and "Exchange" in line]
-    assert not scans
+    spark = links.rows.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = links.of(stored(pagerank.initial_ranks(tiny[0], [1])))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "InMemoryTableScan" in plan
+        # One exchange and one sort: those of the rank rows.
+        above = plan.split("InMemoryTableScan")[0]
+        assert above.count("Exchange hashpartitioning") == 1 and above.count("Sort [") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        links.release()
