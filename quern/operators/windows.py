@@ -54,22 +54,24 @@ def sliding_window_count(
     return window_count(events, ts, length, slide=slide)
 
 
+def _calendar(counts: DataFrame, key: str, length: str) -> DataFrame:
+    """``(key, window_start)``: every window from a key's first one to the last of all."""
+    last = counts.agg(F.max("window_start")).scalar()
+    windows = F.sequence("first", last, F.expr(f"INTERVAL {length}"))
+    first = counts.groupBy(key).agg(F.min("window_start").alias("first"))
+    return first.select(key, F.explode(windows).alias("window_start"))
+
+
 def with_silent_windows(counts: DataFrame, key: str, length: str) -> DataFrame:
     """Add windows without events, count 0, from a key's first window to the last of all."""
-    step = F.expr(f"INTERVAL {length}")
-    last = counts.agg(F.max("window_start")).scalar()
-    calendar = (
-        counts.groupBy(key)
-        .agg(F.min("window_start").alias("first"))
-        .select(key, F.explode(F.sequence("first", last, step)).alias("window_start"))
-        .select(key, "window_start", F.lit(0).cast("bigint").alias("n"))
-    )
+    silent = _calendar(counts, key, length).withColumn("n", F.lit(0).cast("bigint"))
+    window_end = F.col("window_start") + F.expr(f"INTERVAL {length}")
     return (
         counts.select(key, "window_start", "n")
-        .unionByName(calendar)
+        .unionByName(silent)
         .groupBy(key, "window_start")
         .agg(F.sum("n").alias("n"))
-        .select(key, "window_start", (F.col("window_start") + step).alias("window_end"), "n")
+        .select(key, "window_start", window_end.alias("window_end"), "n")
     )
 
 
@@ -81,13 +83,13 @@ def time_stamp(moment: Column) -> Column:
 def window_state_history(counts: DataFrame, key: str, length: str) -> DataFrame:
     """``(key, window_start, window_end, time_stamp, current, previous)`` for every window.
 
-    The previous count of a window is the count one window length earlier, so counts are
-    also laid one window ahead and meet there in a sum; no ordered walk along a key.
+    A window without events counts 0, from a key's first window to the last of all. The
+    previous count is the one a window length earlier, so counts are also laid one
+    window ahead: everything meets in one sum, without an ordered walk along a key.
     """
     counts = stored(counts, "windows")
     step = F.expr(f"INTERVAL {length}")
-    filled = with_silent_windows(counts, key, length)
-    end = counts.agg(F.max("window_start")).scalar()
+    last = counts.agg(F.max("window_start")).scalar()
     zero = F.lit(0).cast("bigint")
     here = F.struct(
         F.col("window_start").alias("at"), F.col("n").alias("current"), zero.alias("previous")
@@ -97,9 +99,13 @@ def window_state_history(counts: DataFrame, key: str, length: str) -> DataFrame:
         zero.alias("current"),
         F.col("n").alias("previous"),
     )
+    silent = _calendar(counts, key, length).select(
+        key, F.col("window_start").alias("at"), zero.alias("current"), zero.alias("previous")
+    )
     return (
-        filled.select(key, F.inline(F.array(here, ahead)))
-        .where(F.col("at") <= end)
+        counts.select(key, F.inline(F.array(here, ahead)))
+        .where(F.col("at") <= last)
+        .unionByName(silent)
         .groupBy(key, "at")
         .agg(F.sum("current").alias("current"), F.sum("previous").alias("previous"))
         .select(

@@ -9,6 +9,7 @@ from quern.functions.features import hashed_feature
 from quern.functions.regions import Box
 from quern.functions.tokens import tokens
 from quern.plans.scratch import stored
+from quern.sources.files import size
 from quern.sources.lines import scan_lines
 from quern.sources.tables import scan_parquet
 
@@ -32,11 +33,8 @@ def spread(rows: DataFrame) -> DataFrame:
     files = rows.inputFiles()
     if len(files) >= cores:
         return rows
-    jvm = spark.sparkContext._jvm
-    paths = [jvm.org.apache.hadoop.fs.Path(f) for f in files]
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    size = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
-    return rows.repartition(cores) if size < cores * SPLIT_BYTES else rows
+    small = sum(size(spark, file) for file in files) < cores * SPLIT_BYTES
+    return rows.repartition(cores) if small else rows
 
 
 def text_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -192,7 +192,7 @@ def stream_sink_windows(spark, sf):
     closed = streams.stream_window_count(
         replay.stream_table(spark, sf, "events"), "ts", windows.COUNT_WINDOW, DELAY
     )
-    streams.drain(streams.write_windows(closed, f"{path}/out", f"{path}/checkpoint"))
+    streams.drain(spark, streams.write_windows(closed, f"{path}/out", f"{path}/checkpoint"))
     stored = spark.read.schema("n bigint, window_ms bigint").parquet(f"{path}/out")
     return stored.select("window_ms", "n")
 

@@ -25,9 +25,10 @@ def read_text_table(
 def write_models(models: DataFrame, path: str) -> None:
     """``(model_id, feature, weight)``, one folder per model; any number of models.
 
-    Rows are spread by feature as well, so a large model is written by many tasks.
+    Rows are gathered by model so that small models do not fall into many files; a
+    large one is split over several tasks.
     """
-    models.write.mode("overwrite").partitionBy("model_id").parquet(path)
+    models.hint("rebalance", F.col("model_id")).write.mode("overwrite").partitionBy("model_id").parquet(path)
 
 
 def read_models(spark: SparkSession, path: str, model_ids: Sequence[int] | None = None) -> DataFrame:

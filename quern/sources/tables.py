@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from quern.sources.files import exists
+
+
+def table_path(spark: SparkSession, folder: str, name: str) -> str:
+    """``<folder>/<name>.parquet`` where it exists, else ``<folder>/<name>``."""
+    path = f"{folder.rstrip('/')}/{name}"
+    return f"{path}.parquet" if exists(spark, f"{path}.parquet") else path
+
 
 def scan_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """``<folder>/<name>.parquet``, a file or a directory of files."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A Parquet table of the folder, a file or a directory of files."""
+    return spark.read.parquet(table_path(spark, folder, name))
 
 
 def scan_delimited(

@@ -6,11 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(jvm_path) and files.getFileStatus(jvm_path).isDirectory()
+from quern.sources.files import is_folder
+from quern.sources.tables import table_path
 
 
 def stream_files(
@@ -24,7 +21,7 @@ def stream_files(
 
     Files are taken by age, not by name; operators on the stream go by event time.
     """
-    if not _is_folder(spark, path):
+    if not is_folder(spark, path):
         raise ValueError(f"{path} is not a folder of part files")
     reader = spark.readStream.format(file_format).schema(schema).option("pathGlobFilter", "part-*")
     if files_per_batch:
@@ -38,11 +35,12 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     The files of a table are in no order of time. Taken together they cannot overtake
     each other, so no event is late.
     """
-    folder, file = folder.rstrip("/"), f"{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(f"{folder}/{file}").schema)
-    if _is_folder(spark, f"{folder}/{file}"):
-        return reader.parquet(f"{folder}/{file}")
-    return reader.option("pathGlobFilter", file).parquet(folder)
+    path = table_path(spark, folder, name)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    parent, file = path.rsplit("/", 1)
+    return reader.option("pathGlobFilter", file).parquet(parent)
 
 
 def land_slices(events: DataFrame, path: str, ts: str, slices: int) -> None:

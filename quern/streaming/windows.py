@@ -122,12 +122,23 @@ def write_rows(rows: DataFrame, path: str, checkpoint: str):
     )
 
 
-def drain(writer) -> None:
-    """Process everything that is there, then stop."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+def drain(spark: SparkSession, writer) -> None:
+    """Process everything that is there, then stop.
+
+    State is kept in no more partitions than there are cores, so that a micro-batch,
+    however small, is one wave of tasks. A restarted stream keeps its first number.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, str(min(before, spark.sparkContext.defaultParallelism)))
+    try:
+        running = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(name, str(before))
+    running.awaitTermination()
 
 
 def drained(spark: SparkSession, stream: DataFrame, path: str) -> DataFrame:
     """The output of a stream over all input present, as a table."""
-    drain(write_rows(stream, f"{path}/rows", f"{path}/checkpoint"))
+    drain(spark, write_rows(stream, f"{path}/rows", f"{path}/checkpoint"))
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")

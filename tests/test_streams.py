@@ -89,7 +89,7 @@ def test_stream_window_folders(spark, tmp_path):
     land(spark, EVENTS, folder)
     stream = replay.stream_files(spark, folder, SCHEMA)
     closed = streams.stream_window_count(stream, "ts", "10 minutes", "0 minutes")
-    streams.drain(streams.write_windows(closed, str(tmp_path / "out"), str(tmp_path / "check")))
+    streams.drain(spark, streams.write_windows(closed, str(tmp_path / "out"), str(tmp_path / "check")))
     stamps = {int(p.name.split("=")[1]) for p in (tmp_path / "out").glob("window_ms=*")}
     epoch = datetime(1970, 1, 1)
     assert stamps == {
