@@ -159,11 +159,16 @@ def score_documents(instances: DataFrame, models: DataFrame) -> DataFrame:
     return (
         instances.select("doc_id", "label", F.explode(all_models).alias("model_id"))
         .join(scores, ["doc_id", "model_id"], "left")
-        .withColumn("score", F.coalesce("score", F.lit(0.0)))
+        .withColumn("score", _settled(F.coalesce("score", F.lit(0.0))))
         .withColumn("answer", answer(F.col("score")))
     )
 
 
+def _settled(score: Column) -> Column:
+    """A score to ten digits: noise from the order of summing must not decide its sign."""
+    return F.round(score, 10)
+
+
 def answer(score: Column) -> Column:
     return F.when(score > 0, SPAM).otherwise(HAM)
 
@@ -182,7 +187,7 @@ def ensemble_vote(scored: DataFrame) -> DataFrame:
 def _ensemble(scored: DataFrame, combined: Column) -> DataFrame:
     return (
         scored.groupBy("doc_id", "label")
-        .agg(combined.alias("score"))
+        .agg(_settled(combined).alias("score"))
         .withColumn("answer", answer(F.col("score")))
     )
 
@@ -199,6 +204,4 @@ def shuffle_trials(
         "label",
         "features",
     ).withColumn("order_key", order_key(F.col("model_id")))
-    scored = score_documents(test, stored(train_sgd(seeded, rate), "models"))
-    # Scores that agree to ten digits are ties: the order of summing must not show.
-    return one_minus_roca(scored.withColumn("score", F.round("score", 10)))
+    return one_minus_roca(score_documents(test, stored(train_sgd(seeded, rate), "models")))

@@ -121,7 +121,7 @@ MODELS = f"""{INSTANCES}, models AS (
   FROM (SELECT DISTINCT feature FROM occurrences),
        (SELECT unnest([1, 2, 3])::INT AS model_id) m)"""
 SCORED = f"""{MODELS}, scored AS (
-  SELECT i.doc_id, i.label, m.model_id, coalesce(s.score, 0) AS score
+  SELECT i.doc_id, i.label, m.model_id, round(coalesce(s.score, 0), 10) AS score
   FROM inst i CROSS JOIN (SELECT DISTINCT model_id FROM models) m
   LEFT JOIN (
     SELECT doc_id, model_id, sum(weight) AS score
@@ -375,7 +375,7 @@ FROM s1 JOIN s2 USING (feature)""",
         "score_documents": f"""WITH {SCORED}
 SELECT doc_id, label, model_id, round(score, 6) + 0.0 AS score, {ANSWER} FROM scored""",
         "ensemble_average": f"""WITH {SCORED}, e AS (
-  SELECT doc_id, label, avg(score) AS score FROM scored GROUP BY ALL)
+  SELECT doc_id, label, round(avg(score), 10) AS score FROM scored GROUP BY ALL)
 SELECT doc_id, label, round(score, 6) + 0.0 AS score, {ANSWER} FROM e""",
         "ensemble_vote": f"""WITH {SCORED}, e AS (
   SELECT doc_id, label, sum(CASE WHEN score > 0 THEN 1.0::DOUBLE ELSE -1 END) AS score

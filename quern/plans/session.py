@@ -7,7 +7,7 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str | int = "*", memory: str = "8g", name: str = "quern") -> SparkSession:
+def local_session(cores: str | int = "*", memory: str = "12g", name: str = "quern") -> SparkSession:
     """A local session. On a cluster the caller brings its own session."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
