@@ -7,16 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.llm import language_model
 from quern.llm.decontaminate import decontaminate
 from quern.llm.mixture import mix_sources, word_count
+from quern.llm.near_duplicates import near_duplicate_classes
+from quern.llm.near_vectors import near_duplicate_vectors
+from quern.llm.quotations import link_quotations
 from quern.llm.substring_dedup import remove_repeated_passages
 from quern.llm.suffix_dedup import remove_repeated_bytes
 from quern.llm.toxicity import score, train
+from quern.llm.wrappers import extract_main_text
 from quern.sources.tables import scan_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return link_quotations(scan_parquet(spark, folder, "conversations")).select(
+        "row.conv_id", "row.turn", "row.role", "out.quote_levels", "out.n_quoted", "out.n_linked",
+        "out.parent_turn", "out.root_turn", "out.depth", "out.own_text",
+    )
+
+
 def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = scan_parquet(spark, folder, "documents").select("doc_id", "text")
     return remove_repeated_bytes(docs, keep_bytes=False).select(
@@ -37,6 +49,18 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = scan_parquet(spark, folder, "documents").select("doc_id", "text")
+    held = language_model.held_out(F.col("doc_id"))
+    model = language_model.train(docs.where(~held))
+    return language_model.score(docs, model).withColumnRenamed("id", "doc_id").withColumn("held_out", held)
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = scan_parquet(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicate_classes(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = scan_parquet(spark, folder, "documents").select("doc_id", "text")
     return remove_repeated_passages(docs, keep_text=False).select(
@@ -44,6 +68,16 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = scan_parquet(spark, folder, "embeddings").select("vec_id", "embedding")
+    return near_duplicate_vectors(vectors).select("row.vec_id", "out.n_links", "out.component_id", "out.kept")
+
+
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = scan_parquet(spark, folder, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages, with_wrapper=False).select("row.page_id", "row.url", "out.text", "out.n_chars")
+
+
 def mixed(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The mix of documents; labelled quality weighs 1 if good, 0.25 if bad, 0.7 if unknown."""
     known = labels.groupBy("doc_id").agg(F.avg("quality").alias("known"))
@@ -61,11 +95,16 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
+        op1_quotation_linking,
         op2_suffix_array_dedup,
         op3_toxicity,
         op4_benchmark_decontamination,
+        op5_lm_scoring,
+        op6_ngram_jaccard_join,
         op7_substring_dedup,
         op8_mix_sources,
+        op9_embedding_near_dedup,
+        op10_html_extraction,
     )
     return {q.__name__: q for q in named}
 

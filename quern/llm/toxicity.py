@@ -78,7 +78,7 @@ def telling(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, most: int) ->
 
 def fit(
     rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, chosen: np.ndarray, levels: int,
-    ridge: float = 0.02, steps: int = 300,
+    ridge: float = 0.02, steps: int = 900,
 ) -> Ordinal:
     """Weights and thresholds of least penalised negative log likelihood, by Adam."""
     place = np.full(BUCKETS, -1)
