@@ -14,6 +14,7 @@ within a component that is already known are the only ones not looked at.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,8 @@ from quern.llm.components import components
 from quern.llm.hashing import BYTE_LOWER, Texts, mixed, of_grams, of_ranges, prefix_sums, signed, texts, words
 from quern.llm.tables import field, keyed, stored
 
-SLOTS = 1 << 16
-_SLOT = np.uint64(48)
+SLOTS = 1 << 17
+_SLOT = np.uint64(47)
 
 
 def shingles(t: Texts, size: int) -> list[np.ndarray]:
@@ -70,61 +71,109 @@ def ordered(s: np.ndarray, crowded: np.ndarray) -> np.ndarray:
     return np.unique(place | (s >> np.uint64(4)))
 
 
-def _sketch(shipped, text_col: str, size: int, percent: int):
+def _prefix(s: np.ndarray, percent: int) -> np.ndarray:
+    """The least of an ordered set, of which a set that similar has one at least."""
+    return s[: len(s) - (-(-percent * len(s) // 100)) + 1] if len(s) else s
+
+
+def _of_prefix(first: np.ndarray, n: int) -> np.int64:
+    """A number for prefix and size."""
+    return signed(mixed(first.sum(keepdims=True)) ^ np.uint64(n))[0]
+
+
+def _prefixes(shipped, text_col: str, size: int, percent: int):
+    """(group, shingle) rows of every group, once for each task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowded, seen = shipped.value, set()
         for batch in batches:
-            n, node, group, prefix = [], [], [], []
+            for t in texts(field(batch, text_col)):
+                groups, parts = [], []
+                for s in shingles(t, size):
+                    s = ordered(s, crowded)
+                    first = _prefix(s, percent)
+                    group = _of_prefix(first, len(s)) if len(s) else None
+                    if group is not None and group not in seen:
+                        seen.add(group)
+                        groups.append(group)
+                        parts.append(first)
+                if groups:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.repeat(np.array(groups, np.int64), [len(x) for x in parts])),
+                            pa.array(signed(np.concatenate(parts))),
+                        ],
+                        ["grp", "token"],
+                    )
+
+    return run
+
+
+def _sketch(shipped, text_col: str, size: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowded = shipped.value
+        for batch in batches:
+            n, node, group = [], [], []
             for t in texts(field(batch, text_col)):
                 for s in shingles(t, size):
                     s = ordered(s, crowded)
-                    k = len(s)
-                    first = s[: k - (-(-percent * k // 100)) + 1] if k else s
-                    keys = mixed(np.array([s.sum(), np.bitwise_xor.reduce(s) if k else 0, first.sum()], np.uint64) + np.uint64(k))
-                    n.append(k)
-                    node.append(keys[0] ^ mixed(keys[1:2])[0])
-                    group.append(keys[2] ^ np.uint64(k))
-                    new = k > 0 and group[-1] not in seen
-                    seen.add(group[-1])
-                    prefix.append(signed(first) if new else None)
+                    both = np.array([s.sum(), np.bitwise_xor.reduce(s) if len(s) else 0], np.uint64)
+                    one, two = mixed(both + np.uint64(len(s)))
+                    n.append(len(s))
+                    node.append(one ^ mixed(np.array([two]))[0])
+                    group.append(_of_prefix(_prefix(s, percent), len(s)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
                     batch.column("id"),
                     pa.array(np.array(n, np.int32)),
                     pa.array(signed(np.array(node, np.uint64))),
-                    pa.array(signed(np.array(group, np.uint64))),
-                    pa.array(prefix, pa.list_(pa.int64())),
+                    pa.array(np.array(group, np.int64)),
                 ],
-                ["key", "id", "n", "node", "grp", "prefix"],
+                ["key", "id", "n", "node", "grp"],
             )
 
     return run
 
 
+def _pack(text_col: str):
+    """Texts are moved several times; packed they take less than half the room."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [zlib.compress((t or "").encode(), 1) for t in field(batch, text_col).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(packed, pa.binary())], ["key", "body"])
+
+    return run
+
+
+def _set_of(body: bytes, size: int) -> np.ndarray:
+    return np.unique(next(iter(shingles(next(texts(pa.array([zlib.decompress(body)]))), size))))
+
+
 def _verify(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, have = None, None
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            sets = [s for t in texts(batch.column("text_a")) for s in shingles(t, size)]
-            others = batch.column("text_b")
             linked = []
-            for i, s in enumerate(sets):
-                if b[i] != of:
-                    of = b[i]
-                    have = np.unique(next(iter(shingles(next(texts(others.slice(i, 1))), size))))
-                mine = np.unique(s)
+            for a, b, body_a, body_b in zip(*(batch.column(c) for c in ("a", "b", "body_a", "body_b"))):
+                if b != of:
+                    of, have = b, _set_of(body_b.as_py(), size)
+                mine = _set_of(body_a.as_py(), size)
                 both = len(np.intersect1d(mine, have, assume_unique=True))
                 linked.append(100 * both >= percent * (len(mine) + len(have) - both))
-            keep = np.flatnonzero(linked)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"]
-            )
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return run
 
 
+def _least_shared(a: Column, b: Column, percent: int) -> Column:
+    """How many shingles the prefixes of sets of sizes ``a`` and ``b`` share at least, if the
+    sets are similar: of the first shingles of either, all but those the other lacks."""
+    overlap = F.ceil((a + b) * percent / F.lit(100 + percent) - F.lit(1e-9))
+    return overlap + 1 - F.ceil(F.greatest(a, b) * percent / F.lit(100) - F.lit(1e-9))
+
+
 def _near_in_size(a: Column, b: Column, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
@@ -150,14 +199,14 @@ def near_duplicate_classes(
     texts_of = rows.select("key", F.struct(F.col("row")[text_col].alias(text_col)).alias("row"), F.col("row")[id_col].alias("id"))
     counts = np.zeros(SLOTS, np.int64)
     totals = texts_of.mapInArrow(_count_slots(text_col, shingle), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    for slot, n in totals.collect():  # as many rows as slots
-        counts[slot] = n
+    totals = totals.toArrow()  # as many rows as slots
+    counts[totals.column("slot").to_numpy()] = totals.column("n").to_numpy()
     shipped = spark.sparkContext.broadcast(crowding(counts))
     id_type = docs.schema[id_col].dataType.simpleString()
     sketch = stored(
         texts_of.mapInArrow(
             _sketch(shipped, text_col, shingle, percent),
-            f"key long, id {id_type}, n int, node long, grp long, prefix array<long>",
+            f"key long, id {id_type}, n int, node long, grp long",
         ),
         "sketch",
     )
@@ -170,7 +219,7 @@ def near_duplicate_classes(
         ),
         "nodes",
     )
-    prefixes = sketch.where("prefix is not null").select("grp", F.explode("prefix").alias("token"))
+    prefixes = texts_of.select("row").mapInArrow(_prefixes(shipped, text_col, shingle, percent), "grp long, token long")
     same = Window.partitionBy("token")
     shared = stored(
         prefixes.select("token", "grp", F.min("grp").over(same).alias("least"), F.max("grp").over(same).alias("most"))
@@ -182,48 +231,64 @@ def near_duplicate_classes(
     met = (
         shared.select("grp", F.explode(F.array("least", "most")).alias("other"))
         .where("grp <> other")
-        .distinct()
-        .unionByName(heads.where("members > 1").select("grp", F.col("grp").alias("other")))
+        .groupBy("grp", "other")
+        .agg(F.count("*").alias("seen"))
+        .unionByName(heads.where("members > 1").select("grp", F.col("grp").alias("other"), F.lit(None).alias("seen")))
     )
     of = nodes.select("grp", F.col("node").alias("a"), F.col("n").alias("n_a"))
-    pairs = (
+    # A pair sharing few of the shingles counted here is left to the second part, which counts all.
+    promising = F.col("seen").isNull() | (F.col("seen") * 8 >= _least_shared(F.col("n_a"), F.col("n_b"), percent))
+    stars = stored(
         met.join(of, "grp")
         .join(heads.select(F.col("grp").alias("other"), F.col("head.node").alias("b"), F.col("head.n").alias("n_b")), "other")
-        .where(_near_in_size(F.col("n_a"), F.col("n_b"), percent) & (F.col("a") != F.col("b")))
+        .where(_near_in_size(F.col("n_a"), F.col("n_b"), percent) & (F.col("a") != F.col("b")) & promising)
         .select("a", "b")
-        .distinct()
+        .distinct(),
+        "pairs",
     )
-    stars = stored(pairs, "pairs")
     crowds = heads.where("members > 1").select("grp")
     wanted = nodes.join(shared.select("grp").unionByName(crowds).distinct(), "grp", "left_semi").select("key", "node")
-    bodies = stored(
-        wanted.join(texts_of.select("key", F.col("row")[text_col].alias("text")), "key").select("node", "text"), "bodies"
-    )
+    packed = texts_of.select("key", "row").mapInArrow(_pack(text_col), "key long, body binary")
+    bodies = stored(wanted.join(packed, "key").select("node", "body"), "bodies")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        with_b = with_a.join(bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        return with_b.select("a", "b", "text_a", "text_b").mapInArrow(_verify(shingle, percent), "a long, b long")
+        """Each text is sent once to every pair it is in; a pair is its own group of two."""
+        sides = F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(True).alias("first")), F.struct(F.col("b").alias("node"), F.lit(False).alias("first"))))
+        sent = pairs.select("a", "b", sides.alias("s")).select("a", "b", "s.*").join(bodies, "node")
+        both = sent.groupBy("a", "b").agg(
+            F.max(F.when(F.col("first"), F.col("body"))).alias("body_a"), F.max(F.when(~F.col("first"), F.col("body"))).alias("body_b")
+        )
+        return both.mapInArrow(_verify(shingle, percent), "a long, b long")
 
     links = stored(verified(stars), "verified")
     root = components(links)
     # What the stars left apart: shingles (or groups) with nodes of several components.
-    tokens = shared.select("token", "grp").unionByName(crowds.select(F.col("grp").alias("token"), "grp"))
+    tokens = shared.select("token", "grp", F.lit(False).alias("crowd")).unionByName(
+        crowds.select(F.col("grp").alias("token"), "grp", F.lit(True).alias("crowd"))
+    )
     labelled = nodes.select("grp", "node", "n").join(root, "node", "left").select(
         "grp", "node", "n", F.coalesce("root", "node").alias("root")
     )
-    placed = tokens.join(labelled, "grp").select("token", "node", "n", "root").distinct()
-    by_root = placed.groupBy("token", "root").agg(F.count("*").alias("size"))
-    open_ = by_root.groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count("*").alias("roots"))
-    left = stored(placed.join(open_.where("roots > 1"), "token").select("token", "node", "n", "root", "largest"), "open")
-    few = left.where("root <> largest").select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    many = left.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    placed = tokens.join(labelled, "grp").select("token", "crowd", "node", "n", "root").distinct()
+    by_root = placed.groupBy("token", "crowd", "root").agg(F.count("*").alias("size"))
+    open_ = by_root.groupBy("token", "crowd").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count("*").alias("roots"))
+    left = stored(placed.join(open_.where("roots > 1"), ["token", "crowd"]).select("token", "crowd", "node", "n", "root", "largest"), "open")
+    few = left.where("root <> largest").select("token", "crowd", "largest", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+    many = left.select("token", "crowd", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    # Every shingle that a pair of different components shares is met here, each once.
+    once = (F.col("root_b") == F.col("largest")) | (F.col("a") < F.col("b"))
     rest = (
-        few.join(many, "token")
-        .where((F.col("root_a") != F.col("root_b")) & _near_in_size(F.col("n_a"), F.col("n_b"), percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
+        few.join(many, ["token", "crowd"])
+        .where((F.col("root_a") != F.col("root_b")) & once & _near_in_size(F.col("n_a"), F.col("n_b"), percent))
+        .select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "crowd",
+            _least_shared(F.col("n_a"), F.col("n_b"), percent).alias("needed"),
+        )
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("n"), F.max("needed").alias("needed"), F.max("crowd").alias("crowd"))
+        .where("n >= needed or crowd")
+        .select("a", "b")
+    )
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(verified(rest.join(done, ["a", "b"], "left_anti")), "verified")
     root = components(links.unionByName(more))
@@ -233,7 +298,7 @@ def near_duplicate_classes(
     names = labelled.groupBy("root").agg(F.min("first").alias("name"))
     named = labelled.join(names, "root").select("node", "name")
     own = F.struct("id", "key")
-    return sketch.drop("prefix", "grp").join(named, "node", "left").select(
+    return sketch.drop("grp").join(named, "node", "left").select(
         "key",
         "id",
         F.col("n").cast("long").alias("n_shingles"),
