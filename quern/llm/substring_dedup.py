@@ -120,7 +120,7 @@ def remove_repeated_passages(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = 20,
-    gram: int = 8,
+    gram: int = 6,
     keep_text: bool = True,
 ) -> DataFrame:
     """``row`` and ``out``: each text without the words of passages of ``length`` words or more
@@ -133,11 +133,13 @@ def remove_repeated_passages(
     """
     rows = keyed(docs, id_col, text_col)
     seeds = stored(rows.mapInArrow(_seeds(text_col, length, gram), SEEDS), "seeds")
-    again = (
+    # A table, so that the join has plain shuffles on both sides and hot keys can be split.
+    again = stored(
         seeds.groupBy("seed")
         .agg(F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most"))
         .where("n > 1")
-        .select("seed", (F.col("least") == F.col("most")).alias("alike"))
+        .select("seed", (F.col("least") == F.col("most")).alias("alike")),
+        "again",
     )
     ids = rows.select("key", F.col("row")[id_col].alias("id")).distinct()
     shared = stored(seeds.join(again, "seed").join(ids, "key"), "shared")
