@@ -199,11 +199,13 @@ def remove_repeated_bytes(
     gram = max(1, length // 2)
     rows = keyed(docs, id_col, text_col)
     anchors = stored(rows.mapInArrow(_anchors(text_col, length, gram), ANCHORS), "anchors")
-    again = (
+    # A table, so that the join has plain shuffles on both sides and hot keys can be split.
+    again = stored(
         anchors.groupBy("anchor")
         .agg(F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most"))
         .where("n > 1")
-        .select("anchor", (F.col("least") == F.col("most")).alias("alike"))
+        .select("anchor", (F.col("least") == F.col("most")).alias("alike")),
+        "again",
     )
     shared = stored(anchors.join(again, "anchor"), "shared")
     same = shared.where("alike").select(
