@@ -118,7 +118,7 @@ def near_duplicate_vectors(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     threshold: float = 0.95,
-    margin: float = 0.2,
+    margin: float = 0.1,
     cell_rows: int = 1000,
     sample: int = 20_000,
     block: int = 1024,
@@ -164,12 +164,16 @@ def near_duplicate_vectors(
         ),
         "assigned",
     )
-    sizes = assigned.groupBy("dim", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    placed = assigned.join(sizes, ["dim", "cell"]).withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), "blocks"))
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / block)).cast("long")
+    sizes = assigned.groupBy("dim", "cell").agg(
+        blocks(F.sum(F.col("home").cast("long"))).alias("homes"), blocks(F.count("*")).alias("all")
+    )
+    placed = assigned.join(sizes, ["dim", "cell"])
+    own = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), n)
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     columns = ("dim", "cell", "i", "j", "side", "node", "copies", "vector")
-    home = placed.where("home").withColumn("i", F.col("own")).withColumn("j", each).withColumn("side", F.lit(True))
-    others = placed.withColumn("j", F.col("own")).withColumn("i", each).withColumn("side", F.lit(False))
+    home = placed.where("home").withColumn("i", own("homes")).withColumn("j", each("all")).withColumn("side", F.lit(True))
+    others = placed.withColumn("j", own("all")).withColumn("i", each("homes")).withColumn("side", F.lit(False))
     found = stored(
         home.select(*columns)
         .unionByName(others.select(*columns))
