@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quern.llm.tables import columns, field, table_schema
+from quern.llm.tables import columns, field, stored, table_schema
 
 BUCKETS = 1 << 20
 CACHED = 400_000
@@ -62,18 +62,18 @@ def dose_grades(toxic: np.ndarray, doses: np.ndarray, cuts: tuple[int, ...] = (2
     return toxic * (1 + sum((doses > c).astype(int) for c in cuts))
 
 
-def telling(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The features whose frequencies differ most between the classes, and their log odds."""
-    bad = np.bincount(cols, toxic[rows], BUCKETS)
-    all_ = np.bincount(cols, minlength=BUCKETS)
-    seen = np.flatnonzero(all_ >= 3)
-    n_bad, n = toxic.sum(), len(toxic)
-    p, q = (bad[seen] + 0.5) / (n_bad + 1), (all_[seen] - bad[seen] + 0.5) / (n - n_bad + 1)
-    odds = np.log(p / q)
-    strength = np.abs(odds) * np.abs(p - q) * np.sqrt(n)
-    keep = np.flatnonzero((strength > 0.5) & (np.abs(odds) > 1))
-    best = keep[np.argsort(-strength[keep], kind="stable")[:most]]
-    return seen[best], odds[best]
+def telling(sample: DataFrame, n: int, n_bad: int, most: int) -> DataFrame:
+    """``(bucket, odds)`` of the features whose frequencies differ most between the classes."""
+    counts = (
+        sample.select((F.col("toxic") > 0).cast("int").alias("bad"), F.explode("buckets").alias("bucket"))
+        .groupBy("bucket")
+        .agg(F.count("*").alias("all"), F.sum("bad").alias("bad"))
+        .where("all >= 3")
+    )
+    p, q = (F.col("bad") + 0.5) / (n_bad + 1), (F.col("all") - F.col("bad") + 0.5) / (n - n_bad + 1)
+    strength = F.abs(F.col("odds")) * F.abs(p - q) * float(np.sqrt(n))
+    rated = counts.withColumn("odds", F.log(p / q)).withColumn("strength", strength)
+    return rated.where("strength > 0.5 and abs(odds) > 1").orderBy(F.desc("strength"), "bucket").limit(most)
 
 
 def fit(
@@ -143,6 +143,20 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _only(shipped):
+    """The buckets that are among the shipped ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                np.intersect1d(np.asarray(b, np.int32), shipped.value) for b in batch.column("buckets").to_pylist()
+            ]
+            columns_ = [batch.column("id"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns_, ["id", "toxic", "buckets"])
+
+    return run
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -152,22 +166,27 @@ def train(
     most_texts: tuple[int, int] = (10_000, 2_500),
     most_features: int = 4096,
 ) -> Ordinal:
-    """Fit on a bounded sample. Without a toxic and a clean text no text is toxic."""
+    """Fit on a bounded sample. Without a toxic and a clean text no text is toxic. Writes a table
+    of the sample when called."""
     sample = _sample(docs, labels, id_col, text_col, toxic_col, most_texts)
     id_type = sample.schema["id"].dataType.simpleString()
-    rows_in = (
-        sample.mapInArrow(_buckets, f"id {id_type}, toxic long, buckets array<int>").toPandas().sort_values("id")
-    )
-    toxic = (rows_in["toxic"].to_numpy() > 0).astype(int)
-    if not len(toxic) or toxic.min() == toxic.max():
+    sample = stored(sample.mapInArrow(_buckets, f"id {id_type}, toxic long, buckets array<int>"), "sample")
+    n, n_bad = sample.agg(F.count("*"), F.count_if(F.col("toxic") > 0)).first()
+    if not 0 < n_bad < n:
         return Ordinal({}, np.array([20.0]))
-    counts = rows_in["buckets"].map(len).to_numpy()
-    rows = np.repeat(np.arange(len(toxic)), counts)
-    cols = np.concatenate([np.asarray(b, np.int64) for b in rows_in["buckets"]])
-    chosen, odds = telling(rows, cols, toxic, most_features)
+    best = telling(sample, n, n_bad, most_features).select("bucket", "odds").toArrow()
+    chosen, odds = (best.column(c).to_numpy() for c in ("bucket", "odds"))
+    # Only the chosen features of the sampled texts come to the driver.
+    shipped = docs.sparkSession.sparkContext.broadcast(np.sort(chosen))
+    kept = sample.mapInArrow(_only(shipped), sample.schema)
+    kept = kept.orderBy("id").toArrow()
+    toxic = (kept.column("toxic").to_numpy() > 0).astype(int)
+    lists = kept.column("buckets").combine_chunks()
+    rows = np.repeat(np.arange(n), lists.value_lengths().to_numpy())
+    cols = lists.flatten().to_numpy().astype(np.int64)
     strong = np.zeros(BUCKETS)
     strong[chosen[odds > 2]] = 1
-    grades = dose_grades(toxic, np.bincount(rows, strong[cols], len(toxic)))
+    grades = dose_grades(toxic, np.bincount(rows, strong[cols], n))
     return fit(rows, cols, grades, chosen, 4)
 
 
