@@ -73,7 +73,7 @@ def telling(sample: DataFrame, n: int, n_bad: int, most: int) -> DataFrame:
     p, q = (F.col("bad") + 0.5) / (n_bad + 1), (F.col("all") - F.col("bad") + 0.5) / (n - n_bad + 1)
     strength = F.abs(F.col("odds")) * F.abs(p - q) * float(np.sqrt(n))
     rated = counts.withColumn("odds", F.log(p / q)).withColumn("strength", strength)
-    return rated.where("strength > 0.5 and abs(odds) > 1").orderBy(F.desc("strength"), "bucket").limit(most)
+    return rated.where("strength > 3 and abs(odds) > 1").orderBy(F.desc("strength"), "bucket").limit(most)
 
 
 def fit(
