@@ -45,19 +45,19 @@ def one_minus_roca(
     totals = within.groupBy(group, "band").agg(
         F.sum("spam").alias("spam"),
         F.sum("ham").alias("ham"),
-        F.sum(F.col("spam") * (F.col("ham_below") + F.col("ham") / 2)).alias("won"),
+        F.sum(F.col("spam").cast("double") * (F.col("ham_below") + F.col("ham") / 2)).alias("won"),
     )
     lower = W.partitionBy(group).orderBy("band")
     return (
         totals.withColumn("ham_lower", F.sum("ham").over(lower) - F.col("ham"))
         .groupBy(group)
         .agg(
-            F.sum(F.col("won") + F.col("spam") * F.col("ham_lower")).alias("won"),
+            F.sum(F.col("won") + F.col("spam").cast("double") * F.col("ham_lower")).alias("won"),
             F.sum("spam").alias("spam"),
             F.sum("ham").alias("ham"),
         )
         .select(
             group,
-            ((1 - F.col("won") / (F.col("spam") * F.col("ham"))) * 100).alias("one_minus_roca"),
+            ((1 - F.col("won") / F.col("spam") / F.col("ham")) * 100).alias("one_minus_roca"),
         )
     )

@@ -14,8 +14,7 @@ from quern.sources.lines import scan_lines
 from quern.sources.tables import scan_parquet
 
 SPLIT_BYTES = 128 * 1024 * 1024
-PART_OFFSET = 10_000_000
-SUPPLIER_OFFSET = 20_000_000
+KINDS = ("customer", "part", "supplier")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,14 +64,19 @@ def formula_models(rows: DataFrame, models: int) -> DataFrame:
     )
 
 
+def node(key: str, kind: str) -> Column:
+    """A node id that no key of another kind has, however many there are."""
+    return F.col(key) * len(KINDS) + KINDS.index(kind)
+
+
 def trade_edges(spark: SparkSession, folder: str, repeated: bool = False) -> DataFrame:
     """Customer -> part -> supplier links. Suppliers have no out-edges."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    part = F.col("l_partkey") + PART_OFFSET
-    buys = joined.select(F.col("o_custkey").alias("src"), part.alias("dst"))
-    sold = lines.select(part.alias("src"), (F.col("l_suppkey") + SUPPLIER_OFFSET).alias("dst"))
+    part = node("l_partkey", "part")
+    buys = joined.select(node("o_custkey", "customer").alias("src"), part.alias("dst"))
+    sold = lines.select(part.alias("src"), node("l_suppkey", "supplier").alias("dst"))
     if not repeated:
         buys, sold = buys.distinct(), sold.distinct()
     return stored(buys.unionAll(sold), "edges")
@@ -85,9 +89,9 @@ def trade_nodes(spark: SparkSession, folder: str, small_parts: bool = True) -> D
         part = part.where("p_size <> 1")
     return (
         table(spark, folder, "customer")
-        .select(F.col("c_custkey").alias("node_id"))
-        .unionAll(part.select(F.col("p_partkey") + PART_OFFSET))
-        .unionAll(table(spark, folder, "supplier").select(F.col("s_suppkey") + SUPPLIER_OFFSET))
+        .select(node("c_custkey", "customer").alias("node_id"))
+        .unionAll(part.select(node("p_partkey", "part")))
+        .unionAll(table(spark, folder, "supplier").select(node("s_suppkey", "supplier")))
     )
 
 
@@ -97,7 +101,7 @@ def cyclic_edges(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     pairs = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(F.col("o_custkey").alias("c"), (F.col("l_partkey") + PART_OFFSET).alias("p"))
+        .select(node("o_custkey", "customer").alias("c"), node("l_partkey", "part").alias("p"))
         .distinct()
     )
     both = F.array(

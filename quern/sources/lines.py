@@ -10,10 +10,11 @@ LINES_PER_DOCUMENT = 1_000_000
 
 
 def scan_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, line_no, line_id, line)`` of a table of whole texts."""
+    """``(doc_id, line_no, line_id, line)`` of a table of whole texts; a last newline ends the
+    last line and opens no other."""
     return documents.select(
         F.col(doc_id).alias("doc_id"),
-        F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"),
+        F.posexplode(F.split(F.regexp_replace(text, r"\n\z", ""), "\n")).alias("line_no", "line"),
     ).select(
         "doc_id",
         "line_no",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quern.sources.files import exists
 
@@ -24,12 +24,19 @@ def scan_delimited(
 ) -> DataFrame:
     """``<folder>/<name>.tbl``, one row per line.
 
-    A delimiter after the last field makes one more, empty field; the reader drops
-    what the schema does not name.
+    Lines are split plainly: quotes and backslashes are letters like any other, and an
+    empty field of a string column is the empty string. A delimiter after the last field
+    makes one more, empty field, which is dropped. Any other line that does not fit the
+    schema fails the job.
     """
     return (
-        spark.read.schema(schema)
+        spark.read.schema(StructType([*schema.fields, StructField("_end", StringType())]))
         .option("sep", delimiter)
-        .option("mode", "PERMISSIVE")
+        .option("quote", "")
+        .option("escape", "")
+        .option("emptyValue", "")
+        .option("nullValue", "\u0000")
+        .option("mode", "FAILFAST")
         .csv(f"{folder.rstrip('/')}/{name}.tbl")
+        .drop("_end")
     )

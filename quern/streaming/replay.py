@@ -52,6 +52,24 @@ def land_slices(events: DataFrame, path: str, ts: str, slices: int) -> None:
         land(part, path, ts)
 
 
+def closing_event(events: DataFrame, ts: str, length: str, delay: str) -> DataFrame:
+    """One event of no content, late enough to close every window of ``events``.
+
+    It comes ``delay`` after the end of the last window. Text columns are empty, all others
+    null; its own window stays open and is never reported.
+    """
+    last = events.agg(F.max(ts).cast("timestamp").alias("last"))
+    moment = F.window("last", length)["end"] + F.expr(f"INTERVAL {delay}")
+    return last.select(
+        *[
+            (moment if f.name == ts else F.lit("") if f.dataType.typeName() == "string" else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in events.schema.fields
+        ]
+    )
+
+
 def land(events: DataFrame, path: str, ts: str) -> None:
     events.repartitionByRange(ts).sortWithinPartitions(ts).write.mode("append").parquet(path)
 

@@ -6,7 +6,7 @@ windows and for the latest window of each key only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 
 import pandas as pd
@@ -25,10 +25,19 @@ def event_time(events: DataFrame, ts: str, delay: str) -> DataFrame:
 
 
 def stream_window_count(
-    events: DataFrame, ts: str, length: str, delay: str, *keys: str, slide: str | None = None
+    events: DataFrame,
+    ts: str,
+    length: str,
+    delay: str,
+    *keys: str,
+    slide: str | None = None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda events: events,
 ) -> DataFrame:
-    """``window_count`` of a stream: every closed window once."""
-    return window_count(event_time(events, ts, delay), ts, length, *keys, slide=slide)
+    """``window_count`` of a stream: every closed window once.
+
+    ``prepare`` may drop or extend events; all of them, also those it drops, move the clock.
+    """
+    return window_count(prepare(event_time(events, ts, delay)), ts, length, *keys, slide=slide)
 
 
 class TrendState(StatefulProcessor):

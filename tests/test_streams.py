@@ -142,3 +142,18 @@ def test_taxi_regions(spark):
     x, y = taxi_point(F.split("value", ","))
     got = [r.region for r in region_assign(lines, x, y, TAXI_SITES).collect()]
     assert got == ["goldman", "citigroup", "goldman"]
+
+
+def test_no_event_is_lost_with_many_files_per_period_and_restarts(spark, tmp_path):
+    rows = [(f"k{i % 3}", T0 + timedelta(seconds=37 * i)) for i in range(3000)]
+    events = spark.createDataFrame(rows, SCHEMA)
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    closing = replay.closing_event(events, "ts", "10 minutes", "5 minutes")
+    for part in [*replay.time_slices(events, "ts", 3), closing]:
+        part.repartition(8).write.mode("append").parquet(folder)
+        stream = replay.stream_files(spark, folder, events.schema, files_per_batch=None)
+        counts = streams.stream_window_count(stream, "ts", "10 minutes", "5 minutes", "key")
+        found = streams.drained(spark, counts, out)
+    batch = windows.window_count(events, "ts", "10 minutes", "key")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, batch.select(found.columns).collect()))
+    assert found.agg(F.sum("n")).first()[0] == len(rows)

@@ -186,3 +186,18 @@ def test_pmi_forward_without_threshold(spark, total):
         (x, y): (math.log(n_lines * n / (words[x] * words[y])), n) for (x, y), n in pairs.items()
     }
     close(cooccur.pmi_forward(as_lines(spark, corpus), total), expected)
+
+
+def test_a_last_newline_opens_no_line(spark):
+
+    docs = spark.createDataFrame([(1, "a\nb\n"), (2, "a\n\n"), (3, "a")], "doc_id long, text string")
+    lines = sorted((r.doc_id, r.line_no, r.line) for r in scan_lines(docs).collect())
+    assert lines == [(1, 0, "a"), (1, 1, "b"), (2, 0, "a"), (2, 1, ""), (3, 0, "a")]
+
+
+def test_pmi_of_very_frequent_words_does_not_overflow(spark):
+
+    pairs = spark.createDataFrame([("a", "b", 5_000_000_000)], "word string, other string, n long")
+    counts = spark.createDataFrame([("a", 5_000_000_000), ("b", 5_000_000_000)], "word string, n long")
+    row = cooccur._pmi(pairs, counts, F.lit(1e10), "log10").first()
+    assert abs(row.pmi - 0.30103) < 1e-4
