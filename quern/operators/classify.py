@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.plans.scratch import checkpointed, stored
@@ -18,7 +18,7 @@ from quern.plans.skew import hot_keys, sliced_join
 RATE = 0.002
 SPAM, HAM = "spam", "ham"
 
-INSTANCES_PER_SHARD = 50_000
+MOST_INSTANCES = 50_000
 
 
 def doc_features(texts: DataFrame, features: Column) -> DataFrame:
@@ -38,7 +38,7 @@ def shuffle_instances(instances: DataFrame, seed: int) -> DataFrame:
 
 
 def _online_pass(shard: pd.DataFrame, rate: float) -> pd.DataFrame:
-    """One pass of online logistic regression over a shard in the given order."""
+    """One pass of online logistic regression over a training set in the given order."""
     shard = shard.sort_values(["order_key", "doc_id"], kind="stable")
     sizes = shard["features"].map(len).to_numpy()
     names, places = np.unique(np.concatenate(shard["features"].to_list()), return_inverse=True)
@@ -55,46 +55,30 @@ def _online_pass(shard: pd.DataFrame, rate: float) -> pd.DataFrame:
 def train_sgd(
     instances: DataFrame,
     rate: float = RATE,
-    instances_per_shard: int = INSTANCES_PER_SHARD,
+    most_instances: int = MOST_INSTANCES,
 ) -> DataFrame:
     """``(model_id, feature, weight)`` by one online pass per model, in order of ``order_key``.
 
-    An online pass is a chain of dependent updates, which one task has to walk. So that
-    no task ever has to hold more than a shard, the training set of a model with more
-    than ``instances_per_shard`` documents is dealt into shards, each is trained by its
-    own pass, and the model is the mean of the shards' weights (parameter mixing). A
-    training set that fits one shard gets the plain online result.
+    An online pass is a chain of dependent updates, which one task has to walk. So that it
+    never holds an unbounded group, a model is fitted on a bounded sample: the first
+    ``most_instances`` in its order. Instances beyond them are left out next to the scan.
+    ``train_batch`` learns from all instances of any training set.
     """
-    sizes = instances.groupBy("model_id").agg(F.count("*").alias("n"))
-    large = hot_keys(sizes, "model_id", "n", instances_per_shard)
-    used = instances.where(F.size("features") > 0).select(
-        "model_id", "doc_id", "label", "features", "order_key"
-    )
-    # ``large`` has a bounded number of rows, see hot_keys.
-    sharded = used.join(F.broadcast(large), "model_id", "left").select(
-        "model_id",
-        F.coalesce("slices", F.lit(1)).alias("shards"),
-        F.pmod(F.xxhash64("doc_id"), F.coalesce("slices", F.lit(1))).alias("shard"),
-        "doc_id",
-        "label",
-        "features",
-        "order_key",
+    order = Window.partitionBy("model_id").orderBy("order_key", "doc_id")
+    used = (
+        instances.where(F.size("features") > 0)
+        .select("model_id", "doc_id", "label", "features", "order_key")
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= most_instances)
     )
 
-    def train(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
-        fitted = _online_pass(shard, rate)
-        fitted.insert(0, "shards", key[1])
+    def train(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        fitted = _online_pass(rows, rate)
         fitted.insert(0, "model_id", key[0])
         return fitted
 
     model_type = instances.schema["model_id"].dataType.simpleString()
-    fitted = sharded.groupBy("model_id", "shards", "shard").applyInPandas(
-        lambda key, shard: train(key, shard),
-        f"model_id {model_type}, shards int, feature int, weight double",
-    )
-    return fitted.groupBy("model_id", "feature").agg(
-        (F.sum("weight") / F.first("shards")).alias("weight")
-    )
+    return used.groupBy("model_id").applyInPandas(train, f"model_id {model_type}, feature int, weight double")
 
 
 def feature_counts(instances: DataFrame, *keys: str) -> DataFrame:
@@ -193,9 +177,16 @@ def _ensemble(scored: DataFrame, combined: Column) -> DataFrame:
 
 
 def shuffle_trials(
-    training: DataFrame, test: DataFrame, seeds: list[int], rate: float = RATE
+    training: DataFrame,
+    test: DataFrame,
+    seeds: list[int],
+    rate: float = RATE,
+    most_instances: int = MOST_INSTANCES,
 ) -> DataFrame:
-    """``(model_id, one_minus_roca)``: one training and evaluation per seed, all at once."""
+    """``(model_id, one_minus_roca)``: one training and evaluation per seed, all at once.
+
+    Each seed trains on its own first ``most_instances``, see ``train_sgd``.
+    """
     from quern.operators.evaluate import one_minus_roca
 
     seeded = training.select(
@@ -204,4 +195,4 @@ def shuffle_trials(
         "label",
         "features",
     ).withColumn("order_key", order_key(F.col("model_id")))
-    return one_minus_roca(score_documents(test, stored(train_sgd(seeded, rate), "models")))
+    return one_minus_roca(score_documents(test, stored(train_sgd(seeded, rate, most_instances), "models")))

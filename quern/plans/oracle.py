@@ -293,12 +293,14 @@ SELECT left_word, right_word,
   p.n AS n
 FROM pairs p JOIN totals x ON p.left_word = x.token JOIN totals y ON p.right_word = y.token""",
         "pmi_forward": f"""WITH {LINES},
-words AS (SELECT line_id, unnest(range(len(t))) AS pos, unnest(t) AS word
+words AS MATERIALIZED (SELECT line_id, unnest(range(len(t))) AS pos, unnest(t) AS word
   FROM (SELECT line_id, {RAW.format('line')} AS t FROM lines)),
-lasts AS (SELECT line_id, word, max(pos) AS last FROM words GROUP BY ALL),
-frequency AS (SELECT word, count(*) AS n FROM lasts GROUP BY word),
+lasts AS MATERIALIZED (SELECT line_id, word, max(pos) AS last FROM words GROUP BY ALL),
+frequency AS MATERIALIZED (SELECT word, count(*) AS n FROM lasts GROUP BY word),
+lefts AS MATERIALIZED (SELECT * FROM words
+  WHERE word IN (SELECT word FROM words GROUP BY word HAVING count(*) >= 10)),
 pairs AS (SELECT a.word AS left_word, b.word AS right_word, count(*) AS n
-  FROM words a JOIN lasts b ON a.line_id = b.line_id AND b.last > a.pos
+  FROM lefts a JOIN lasts b ON a.line_id = b.line_id AND b.last > a.pos
   GROUP BY ALL HAVING count(*) >= 10)
 SELECT left_word, right_word,
   round(ln((SELECT count(*) FROM lines)::DOUBLE * p.n / (x.n * y.n)), 6) + 0.0 AS pmi, p.n AS n

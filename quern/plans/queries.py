@@ -438,14 +438,21 @@ def postings_gaps_decode(spark, sf):
     return index.flat(decoded).select("term", "line_id", "tf")
 
 
+def _stored_index(spark, lines):
+    """Posting blocks of an index in the store, of which a lookup reads the terms it needs."""
+    path = fresh_path(spark, "index")
+    sinks.write_index(index.posting_blocks(lines), path)
+    return sinks.read_index(spark, path)[0]
+
+
 @query
 def postings_lookup(spark, sf):
-    blocks = index.posting_blocks(text_lines(spark, sf))
+    blocks = _stored_index(spark, text_lines(spark, sf))
     return retrieval.postings_lookup(blocks, list(TERMS)).select("term", "line_id", "tf")
 
 
 def _hits(spark, lines):
-    return retrieval.boolean_retrieval(spark, index.posting_blocks(lines), BOOLEAN_QUERIES)
+    return retrieval.boolean_retrieval(spark, _stored_index(spark, lines), BOOLEAN_QUERIES)
 
 
 @query

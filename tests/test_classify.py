@@ -58,20 +58,16 @@ def test_models_train_side_by_side(spark, training):
     assert weights(models, 1) == pytest.approx(plain_online(flipped), abs=1e-12)
 
 
-def test_large_training_sets_are_mixed_from_shards(spark):
+def test_training_uses_the_first_instances_of_a_model(spark):
     rng = random.Random(5)
     docs = [
         (i, rng.randint(0, 1), [rng.randint(0, 20) for _ in range(5)], f"{rng.random():.9f}")
         for i in range(200)
     ]
     rows = spark.createDataFrame(docs, SCHEMA).withColumn("model_id", F.lit(0))
-    got = weights(classify.train_sgd(rows, 0.5, instances_per_shard=50))
-    shard_of = {
-        r.doc_id: r.s for r in rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("s")).collect()
-    }
-    parts = [plain_online([d for d in docs if shard_of[d[0]] == s], 0.5) for s in range(4)]
-    mixed = {f: sum(p.get(f, 0.0) for p in parts) / 4 for f in set().union(*parts)}
-    assert got == pytest.approx(mixed, abs=1e-12)
+    got = weights(classify.train_sgd(rows, 0.5, most_instances=50))
+    first = sorted(docs, key=lambda d: d[3])[:50]
+    assert got == pytest.approx(plain_online(first, 0.5), abs=1e-12)
 
 
 def test_batch_training(training):

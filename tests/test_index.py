@@ -104,3 +104,11 @@ def test_snippets(spark):
 def test_postings_take_one_shuffle(lines):
     plan = index.posting_blocks(lines)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_lookup_reads_only_the_terms_of_a_stored_index(spark, blocks, tmp_path):
+    sinks.write_index(blocks, str(tmp_path / "index"))
+    found = retrieval.postings_lookup(sinks.read_index(spark, str(tmp_path / "index"))[0], ["dog", "zebra"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "In(term, [dog,zebra])" in plan.split("PushedFilters")[1]
+    assert listing(found) == {("dog", 3, 1), ("dog", 7, 1), ("dog", 41, 1)}

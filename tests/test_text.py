@@ -92,7 +92,7 @@ def test_bigrams(spark):
     assert pairs == {
         ("a", "*", 2.0), ("a", "b", 0.5), ("a", "c", 0.5), ("b", "*", 1.0), ("b", "a", 1.0),
     }
-    stripes = bigrams.bigram_relfreq_stripes(lines, slices=2)
+    stripes = bigrams.bigram_relfreq_stripes(lines, entries_per_map=2)
     assert rows(
         stripes.select("left_word", F.explode("stripe").alias("r", "f")), "left_word", "r", "f"
     ) == {p for p in pairs if p[1] != "*"}
@@ -151,12 +151,16 @@ def test_pmi_pairs(spark, cut, broadcast_words):
 def test_pmi_stripes_hold_the_pairs(spark):
     lines = as_lines(spark, random_corpus())
     pairs = rows(cooccur.pmi_pairs(lines, 2), "left_word", "right_word", "pmi", "n")
-    stripes = cooccur.pmi_stripes(lines, 2, slices=3)
+    stripes = cooccur.pmi_stripes(lines, 2, entries_per_map=3)
     flat = stripes.select("left_word", F.explode("stripe").alias("right_word", "e")).select(
         "left_word", "right_word", "e.pmi", "e.n"
     )
     assert rows(flat, "left_word", "right_word", "pmi", "n") == pairs
     assert {(y, x) for x, y, *_ in pairs} == {(x, y) for x, y, *_ in pairs}
+    maps = {r.left_word: r["count"] for r in stripes.groupBy("left_word").count().collect()}
+    partners = Counter(x for x, *_ in pairs)
+    assert all(maps[w] == 1 for w, n in partners.items() if n <= 3)
+    assert any(maps[w] > 1 for w, n in partners.items() if n > 3)
 
 
 def test_pmi_occurrence_without_threshold(spark):
