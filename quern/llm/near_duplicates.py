@@ -242,7 +242,7 @@ def near_duplicate_classes(
         met.join(of, "grp")
         .join(heads.select(F.col("grp").alias("other"), F.col("head.node").alias("b"), F.col("head.n").alias("n_b")), "other")
         .where(_near_in_size(F.col("n_a"), F.col("n_b"), percent) & (F.col("a") != F.col("b")) & promising)
-        .select("a", "b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct(),
         "pairs",
     )
@@ -269,7 +269,7 @@ def near_duplicate_classes(
     labelled = nodes.select("grp", "node", "n").join(root, "node", "left").select(
         "grp", "node", "n", F.coalesce("root", "node").alias("root")
     )
-    placed = tokens.join(labelled, "grp").select("token", "crowd", "node", "n", "root").distinct()
+    placed = tokens.join(labelled, "grp").select("token", "crowd", "node", "n", "root")
     by_root = placed.groupBy("token", "crowd", "root").agg(F.count("*").alias("size"))
     open_ = by_root.groupBy("token", "crowd").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count("*").alias("roots"))
     left = stored(placed.join(open_.where("roots > 1"), ["token", "crowd"]).select("token", "crowd", "node", "n", "root", "largest"), "open")
@@ -289,8 +289,7 @@ def near_duplicate_classes(
         .where("n >= needed or crowd")
         .select("a", "b")
     )
-    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stored(verified(rest.join(done, ["a", "b"], "left_anti")), "verified")
+    more = stored(verified(rest.join(stars, ["a", "b"], "left_anti")), "verified")
     root = components(links.unionByName(more))
     labelled = nodes.select("node", "first").join(root, "node", "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")
