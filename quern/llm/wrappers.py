@@ -2,10 +2,14 @@
 
 A page is read as a tree of tags. The trees of a host are aligned one after the other: children
 with the same tag and class are matched in order, a child that some pages lack becomes
-optional, neighbours (or runs of neighbours) of one shape become a repeated group, and text
-becomes a slot. What results is a union-free regular expression, ``wrapper``. Its slots say
-where the host's text is: an article or main element where there is one, else the smallest part
-that holds most of the text outside boilerplate.
+optional, neighbours (or runs of neighbours) of one shape become a repeated group. What results
+is a union-free regular expression, ``wrapper``.
+
+Every page is then matched against the wrapper of its host, so that each block of its text falls
+to a part of the wrapper. A text that stands in a part on nearly all different pages which have
+that part is template text; where the texts of a part differ it is a slot. The main text of a page
+is its text in slots. Left out are template text and elements that say by tag or class that they
+are boilerplate. Template headings stay above text that stays.
 
 Pages of equal shape count as one; shapes are aligned in slices of a host before the slices
 are, so a host with very many pages is no single task.
@@ -16,9 +20,10 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field as part
+from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
@@ -49,6 +54,10 @@ CLOSED_BY = {
     "option": frozenset(["option"]),
 }
 MAIN = ("article", "main")
+LABELS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption figcaption".split())
+# Template text stands on so many different pages at least, and on this share of those with its part.
+TEMPLATE_PAGES = 3
+TEMPLATE_SHARE = 0.9
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -57,6 +66,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
+_NUMBER = re.compile(r"[-_]?\d+$")
 
 
 @dataclass
@@ -65,7 +75,10 @@ class Node:
 
     tag: str
     names: str = ""
+    classes: frozenset = frozenset()
     children: list = part(default_factory=list)
+    chars: int = 0
+    marked: int = 0
 
     @property
     def label(self) -> str:
@@ -76,12 +89,15 @@ class Node:
         return self.tag in BOILERPLATE or bool(BOILERPLATE_CLASS.intersection(self.names.split(".")))
 
 
-def _names(attributes: str) -> str:
-    """Lower-case words of class, id and role, without numbers."""
+def _names(attributes: str) -> tuple[str, frozenset[str]]:
+    """Lower-case words of class, id and role, without numbers; and the whole names."""
     found: list[str] = []
+    whole: list[str] = []
     for _, a, b, c in _ATTRIBUTE.findall(attributes):
-        found += _NAME.findall((a or b or c).lower())
-    return ".".join(dict.fromkeys(found))
+        value = (a or b or c).lower()
+        found += _NAME.findall(value)
+        whole += (_NUMBER.sub("", n) for n in value.split())
+    return ".".join(dict.fromkeys(found)), frozenset(whole)
 
 
 def read(page: str | None) -> Node:
@@ -114,7 +130,7 @@ def read(page: str | None) -> Node:
                         break
                     if open_[depth].tag not in INLINE and open_[depth].tag not in CLOSED_BY:
                         break
-            node = Node(tag, _names(attributes) if attributes else "")
+            node = Node(tag, *_names(attributes)) if attributes else Node(tag)
             open_[-1].children.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at)
@@ -196,18 +212,159 @@ def expression(s: list) -> str:
     return f"({text}){many}" if many else text
 
 
-def slots(node: Node, path: str, inside: Counter) -> int:
-    """Characters of text below ``node`` outside boilerplate, added up in ``inside`` by path."""
-    if node.boilerplate:
-        return 0
-    path = f"{path}/{node.label}"
-    total = sum(len(c.strip()) if isinstance(c, str) else slots(c, path, inside) for c in node.children)
-    inside[path] += total
-    return total
+class Part:
+    """An element of a wrapper, numbered in document order. ``items`` are its children: which
+    labels may stand there, and whether they repeat."""
+
+    def __init__(self, s: list, path: str, paths: list[str]):
+        self.path = f"{path}/{s[0]}"
+        self.slot = len(paths)
+        paths.append(self.path)
+        self.items: list[tuple[dict[str, Part], int]] = []
+        for c in s[3]:
+            within: dict[str, Part] = {}
+            self._collect(c, within, paths)
+            if within:
+                self.items.append((within, c[2]))
+
+    def _collect(self, c: list, within: dict[str, Part], paths: list[str]) -> None:
+        if c[0] == "()":
+            for d in c[3]:
+                self._collect(d, within, paths)
+        elif c[0] != "#":
+            within[c[0]] = Part(c, self.path, paths)
+
+    def match(self, nodes: list[Node]) -> list[Part | None]:
+        """The child of this part that each node is, in order; None where there is none."""
+        found: list[Part | None] = []
+        j, items = 0, self.items
+        for node in nodes:
+            while j < len(items) and node.label not in items[j][0]:
+                j += 1
+            if j == len(items):
+                return self._best(nodes)
+            found.append(items[j][0][node.label])
+            j += not items[j][1]
+        return found
+
+    def _best(self, nodes: list[Node]) -> list[Part | None]:
+        n, m, items = len(nodes), len(self.items), self.items
+        best = [[0] * (m + 1) for _ in range(n + 1)]
+        for i in range(n - 1, -1, -1):
+            for j in range(m - 1, -1, -1):
+                best[i][j] = max(best[i + 1][j], best[i][j + 1])
+                if nodes[i].label in items[j][0]:
+                    best[i][j] = max(best[i][j], 1 + best[i + 1][j + (not items[j][1])])
+        found: list[Part | None] = [None] * n
+        i = j = 0
+        while i < n and j < m:
+            to = j + (not items[j][1])
+            if nodes[i].label in items[j][0] and best[i][j] == 1 + best[i + 1][to]:
+                found[i] = items[j][0][nodes[i].label]
+                i, j = i + 1, to
+            elif best[i][j] == best[i][j + 1]:
+                j += 1
+            else:
+                i += 1
+        return found
+
+
+@dataclass
+class Block:
+    """Text between the borders of block elements; ``slot`` is the part of the wrapper it is in.
+    ``label`` marks headings, up to ``end`` follow the blocks of their parent."""
+
+    slot: int
+    label: bool = False
+    pieces: list[str] = part(default_factory=list)
+    text: str = ""
+    end: int = 0
+
+
+def _measure(node: Node) -> None:
+    """Sets the characters of text of each node, and those in article and main elements."""
+    for c in node.children:
+        if isinstance(c, str):
+            node.chars += len(c.strip())
+        else:
+            _measure(c)
+            node.chars += c.chars
+            node.marked += c.marked
+    if node.tag in MAIN:
+        node.marked = node.chars
+
+
+def _left_out(node: Node, parent: Node, root: Node) -> bool:
+    """Whether a node is boilerplate."""
+    if not node.boilerplate:
+        return False
+    if node.tag == "header" and parent.tag in MAIN and not BOILERPLATE_CLASS.intersection(node.names.split(".")):
+        return False
+    return True
+
+
+def _walk(node: Node, slot: int, at: Part | None, root: Node, out: list[Block], above: list[Block] | None) -> None:
+    nodes = [c for c in node.children if isinstance(c, Node)]
+    parts = iter(at.match(nodes) if at else [None] * len(nodes))
+    labels: list[Block] = []
+    for c in node.children:
+        if isinstance(c, str):
+            out[-1].pieces.append(c)
+            continue
+        to = next(parts)
+        if c.tag == "br":
+            out[-1].pieces.append("\n")
+        elif not _left_out(c, node, root):
+            # A node that the wrapper lacks is told by its label within its parent.
+            own = to.slot if to else -1 - zlib.crc32(f"{slot}/{c.label}".encode())
+            if c.tag in INLINE:
+                _walk(c, own, to, root, out, above)
+            else:
+                under = labels if c.tag in LABELS and above is None else above
+                out.append(Block(own, under is not None))
+                if under is not None:
+                    under.append(out[-1])
+                _walk(c, own, to, root, out, under)
+                out.append(Block(slot, above is not None))
+                if above is not None:
+                    above.append(out[-1])
+    for block in labels:
+        block.end = len(out)
+
+
+def blocks(page: str | None, wrapper: Part | None) -> list[Block]:
+    """Blocks of a page in document order, without elements that are boilerplate by themselves."""
+    root = read(page)
+    _measure(root)
+    out = [Block(wrapper.slot if wrapper else -1)]
+    _walk(root, out[0].slot, wrapper, root, out, None)
+    for block in out:
+        block.text = " ".join(html.unescape("".join(block.pieces)).split())
+    return out
+
+
+def text_hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def main_text(page: str | None, wrapper: Part | None, template: frozenset[tuple[int, int]] = frozenset()) -> str:
+    """Text of a page that is not in ``template``, pairs of slot and text. A page that has no other
+    text keeps it."""
+    if not page:
+        return ""
+    found = blocks(page, wrapper)
+    kept = [bool(b.text) and (b.slot, text_hash(b.text)) not in template for b in found]
+    if template and any(kept):
+        for i, b in enumerate(found):
+            if b.text and b.label and not kept[i]:
+                under = next((k for k in range(i + 1, b.end) if found[k].text and not found[k].label), None)
+                kept[i] = under is not None and kept[under]
+        found = [b for b, k in zip(found, kept) if k]
+    return " ".join(b.text for b in found if b.text)
 
 
 def main_path(inside: dict[str, int]) -> str:
-    """The article or main element with most text; else the deepest part with most of the text."""
+    """The article or main element with most text in slots; else the deepest part with most of it."""
     marked = [p for p in inside if p.rsplit("/", 1)[-1].split(".")[0] in MAIN and inside[p]]
     if marked:
         # An article within main is the narrower of the two.
@@ -223,53 +380,17 @@ def main_path(inside: dict[str, int]) -> str:
         path = best
 
 
-def _texts(node: Node, blocks: list[list[str]]) -> None:
-    """Texts of ``node`` outside boilerplate, a list for each block."""
-    for c in node.children:
-        if isinstance(c, str):
-            blocks[-1].append(c)
-        elif c.tag == "br":
-            blocks[-1].append("\n")
-        elif not c.boilerplate or (c.tag == "header" and node.tag in MAIN and not BOILERPLATE_CLASS.intersection(c.names.split("."))):
-            if c.tag in INLINE:
-                _texts(c, blocks)
-            else:
-                blocks.append([])
-                _texts(c, blocks)
-                blocks.append([])
-
-
-def _at(node: Node, steps: list[str]) -> Iterator[Node]:
-    if not steps:
-        yield node
-        return
-    for c in node.children:
-        if isinstance(c, Node) and c.label == steps[0]:
-            yield from _at(c, steps[1:])
-
-
-def _marked(node: Node) -> Iterator[Node]:
-    """Outermost article or main elements outside boilerplate."""
-    for c in node.children:
-        if isinstance(c, Node) and not c.boilerplate:
-            if c.tag in MAIN:
-                yield c
-            else:
-                yield from _marked(c)
-
-
-def main_text(page: str | None, path: str | None) -> str:
-    """Text of the parts at ``path``; a page without such a part has that of its own article or,
-    lacking one, all text outside boilerplate."""
-    root = read(page)
-    found = list(_at(root, path.split("/")[2:])) if path else []
-    found = found or list(_marked(root)) or [root]
-    blocks: list[list[str]] = []
-    for node in found:
-        blocks.append([])
-        _texts(node, blocks)
-    lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
-    return " ".join(line for line in lines if line)
+def _main(tree: str, chars: dict[int, int] | None) -> str:
+    """Path of the part with most text in slots."""
+    paths: list[str] = []
+    Part(json.loads(tree), "", paths)
+    inside: dict[str, int] = {}
+    for slot, n in (chars or {}).items():
+        steps = paths[slot].split("/")
+        for k in range(2, len(steps) + 1):
+            path = "/".join(steps[:k])
+            inside[path] = inside.get(path, 0) + n
+    return main_path(inside)
 
 
 OUT = columns(text="string", n_chars="long", wrapper="string")
@@ -283,20 +404,12 @@ def host(url: Column | str) -> Column:
 def _shapes(html_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[tuple[str, str], Counter] = {}
-            for name, page in zip(batch.column("host").to_pylist(), field(batch, html_col).to_pylist()):
-                root = read(page)
-                inside: Counter = Counter()
-                slots(root, "", inside)
-                key = name, json.dumps(shape(root), separators=(",", ":"))
-                found.setdefault(key, Counter()).update(inside)
+            found = {
+                (name, json.dumps(shape(read(page)), separators=(",", ":")))
+                for name, page in zip(batch.column("host").to_pylist(), field(batch, html_col).to_pylist())
+            }
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in found], pa.string()),
-                    pa.array([k[1] for k in found], pa.string()),
-                    pa.array([list(c.items()) for c in found.values()], pa.map_(pa.string(), pa.int64())),
-                ],
-                ["host", "shape", "inside"],
+                [pa.array([k[i] for k in sorted(found)], pa.string()) for i in (0, 1)], ["host", "shape"]
             )
 
     return run
@@ -312,18 +425,46 @@ def _align(shapes: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": shapes["host"].iloc[:1], "shape": [text]})
 
 
+def _wrapper(tree: str | None, known: dict[str, Part]) -> Part | None:
+    if tree is None:
+        return None
+    if tree not in known:
+        known[tree] = Part(json.loads(tree), "", [])
+    return known[tree]
+
+
+def _seen(html_col: str):
+    """For each page the texts in each part of the wrapper; with a null text the part as such."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Part] = {}
+        for batch in batches:
+            out: dict[tuple, int] = {}
+            names, trees = batch.column("host").to_pylist(), batch.column("tree").to_pylist()
+            for name, page, tree in zip(names, field(batch, html_col).to_pylist(), trees):
+                found = [b for b in blocks(page, _wrapper(tree, known)) if b.text]
+                whole = text_hash("\n".join(b.text for b in found))
+                inside: dict[tuple, int] = {}
+                for b in found:
+                    key = name, b.slot, text_hash(b.text), whole
+                    if key not in inside:
+                        inside[key] = len(b.text)
+                        inside[name, b.slot, None, whole] = inside.get((name, b.slot, None, whole), 0) + len(b.text)
+                out |= inside
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([k[i] for k in out], kind) for i, kind in enumerate(kinds)), pa.array(out.values(), pa.int64())],
+                ["host", "slot", "text", "page", "chars"],
+            )
+
+    return run
+
+
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", slice_shapes: int = 200) -> DataFrame:
-    """``host``, ``wrapper`` (see ``expression``) and ``main``, the path of its main part."""
+    """``host``, ``wrapper`` (see ``expression``), ``main``, the path of its main part, ``tree``, the
+    wrapper as nested lists, and ``template``, the slots and hashes of template text."""
     rows = pages.select(host(url_col).alias("host"), F.struct(F.col(html_col).alias(html_col)).alias("row"))
-    seen = stored(rows.mapInArrow(_shapes(html_col), "host string, shape string, inside map<string,long>"), "shapes")
-    inside = (
-        seen.select("host", F.explode("inside").alias("path", "chars"))
-        .groupBy("host", "path")
-        .agg(F.sum("chars").alias("chars"))
-        .groupBy("host")
-        .agg(F.map_from_entries(F.collect_list(F.struct("path", "chars"))).alias("inside"))
-    )
-    shapes = seen.select("host", "shape").distinct()
+    shapes = stored(rows.mapInArrow(_shapes(html_col), "host string, shape string").distinct(), "shapes")
     left = shapes.groupBy("host").count().agg(F.max("count")).first()[0] or 0
     while True:
         slices = max(1, -(-left // slice_shapes))
@@ -335,21 +476,48 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         left = slices
         if slices == 1:
             break
-    choose = F.udf(lambda m: main_path(dict(m)), "string")
+    trees = stored(shapes.select("host", F.col("shape").alias("tree")), "trees")
+    seen = (
+        rows.join(trees, "host")
+        .mapInArrow(_seen(html_col), "host string, slot long, text long, page long, chars long")
+        .groupBy("host", "slot", "text", "page")
+        .agg(F.max("chars").alias("chars"))
+        .groupBy("host", "slot", "text")
+        .agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+    )
+    seen = stored(seen.where(F.col("text").isNull() | (F.col("n") >= TEMPLATE_PAGES)), "texts")
+    parts = seen.where("text is null").select("host", "slot", F.col("n").alias("pages"), F.col("chars").alias("all"))
+    template = seen.where("text is not null").join(parts.drop("all"), ["host", "slot"])
+    template = stored(template.where(F.col("n") >= TEMPLATE_SHARE * F.col("pages")), "template")
+    fixed = template.groupBy("host", "slot").agg(F.sum("chars").alias("fixed"))
+    # Parts that the wrapper lacks have negative numbers.
+    chars = (
+        parts.where("slot >= 0")
+        .join(fixed, ["host", "slot"], "left")
+        .groupBy("host")
+        .agg(F.map_from_entries(F.collect_list(F.struct("slot", F.col("all") - F.coalesce("fixed", F.lit(0))))).alias("chars"))
+    )
+    texts = template.groupBy("host").agg(F.to_json(F.collect_list(F.array("slot", "text"))).alias("template"))
+    choose = F.udf(lambda tree, chars: _main(tree, chars), "string")
     render = F.udf(lambda s: expression(json.loads(s)), "string")
+    known = trees.join(chars, "host", "left").join(texts, "host", "left")
     return stored(
-        shapes.join(inside, "host", "left").select("host", render("shape").alias("wrapper"), choose("inside").alias("main")),
+        known.select("host", render("tree").alias("wrapper"), choose("tree", "chars").alias("main"), "tree", "template"),
         "wrappers",
     )
 
 
 def _extract(html_col: str, with_wrapper: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Part] = {}
+        fixed: dict[str | None, frozenset] = {None: frozenset()}
         for batch in batches:
             out = []
-            paths, wrappers = batch.column("main").to_pylist(), batch.column("wrapper").to_pylist()
-            for page, path, wrapper in zip(field(batch, html_col).to_pylist(), paths, wrappers):
-                text = main_text(page, path)
+            trees, templates, wrappers = (batch.column(c).to_pylist() for c in ("tree", "template", "wrapper"))
+            for page, tree, template, wrapper in zip(field(batch, html_col).to_pylist(), trees, templates, wrappers):
+                if template not in fixed:
+                    fixed[template] = frozenset(map(tuple, json.loads(template)))
+                text = main_text(page, _wrapper(tree, known), fixed[template])
                 out.append({"text": text, "n_chars": len(text), "wrapper": wrapper if with_wrapper else None})
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, OUT_ARROW)], ["row", "out"])
 
@@ -368,6 +536,6 @@ def extract_main_text(
     rows = pages.select(F.struct("*").alias("row")).withColumn("host", host(F.col("row")[url_col]))
     return (
         rows.join(wrappers, "host", "left")
-        .select("row", "main", "wrapper")
+        .select("row", "tree", "template", "wrapper")
         .mapInArrow(_extract(html_col, with_wrapper), table_schema(pages, OUT))
     )

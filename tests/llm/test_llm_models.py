@@ -224,6 +224,22 @@ def test_pages(spark):
     assert extract_main_text(table.where("false")).count() == 0
 
 
+def test_template_text(spark):
+    """Text that all pages of a host share goes, whatever its tags; a heading above text stays."""
+    rows = []
+    for i in range(8):
+        menu = "".join(f"<li>{w}</li>" for w in ("Home", "World", "About us"))
+        body = "".join(f"<p>story {i} part {k} with <b>words</b></p>" for k in range(i % 3 + 1))
+        rows.append((i, "https://plain.org/a", f"<div><h1>The Site</h1><ul>{menu}</ul></div><div>We keep data.</div><div><h1>Head</h1>{body}<p>Ask us.</p></div><div>by writer {i}</div>"))
+    rows += [(20 + i, "https://one.org/", "<div><p>always the same</p></div>") for i in range(5)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["row"]["page_id"]: r["out"]["text"] for r in extract_main_text(table).collect()}
+    for i in range(8):
+        story = " ".join(f"story {i} part {k} with words" for k in range(i % 3 + 1))
+        assert got[i] == f"Head {story} by writer {i}"
+    assert {got[i] for i in range(20, 25)} == {"always the same"}
+
+
 def test_quotations(spark):
     rows = [
         (1, 0, "user", "Hello there.\n\nHow  are you?\nFine days these are."),
