@@ -9,7 +9,8 @@ Every page is then matched against the wrapper of its host, so that each block o
 to a part of the wrapper. A text that stands in a part on nearly all different pages which have
 that part is template text; where the texts of a part differ it is a slot. The main text of a page
 is its text in slots. Left out are template text and elements that say by tag or class that they
-are boilerplate. Template headings stay above text that stays.
+are boilerplate, unless they hold the article or most of the text. Template headings stay above
+text that stays.
 
 Pages of equal shape count as one; shapes are aligned in slices of a host before the slices
 are, so a host with very many pages is no single task.
@@ -54,6 +55,8 @@ CLOSED_BY = {
     "option": frozenset(["option"]),
 }
 MAIN = ("article", "main")
+# Never the main part, however long, unless an article or main element is inside.
+ASIDE = frozenset("nav footer aside menu button select head".split())
 LABELS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption figcaption".split())
 # Template text stands on so many different pages at least, and on this share of those with its part.
 TEMPLATE_PAGES = 3
@@ -86,7 +89,7 @@ class Node:
 
     @property
     def boilerplate(self) -> bool:
-        return self.tag in BOILERPLATE or bool(BOILERPLATE_CLASS.intersection(self.names.split(".")))
+        return self.tag in BOILERPLATE or not BOILERPLATE_CLASS.isdisjoint(self.classes)
 
 
 def _names(attributes: str) -> tuple[str, frozenset[str]]:
@@ -295,12 +298,14 @@ def _measure(node: Node) -> None:
 
 
 def _left_out(node: Node, parent: Node, root: Node) -> bool:
-    """Whether a node is boilerplate."""
+    """Whether a node is boilerplate; the one with the page's article or most of its text is not."""
     if not node.boilerplate:
         return False
-    if node.tag == "header" and parent.tag in MAIN and not BOILERPLATE_CLASS.intersection(node.names.split(".")):
+    if node.tag == "header" and parent.tag in MAIN and BOILERPLATE_CLASS.isdisjoint(node.classes):
         return False
-    return True
+    if root.marked:
+        return 2 * node.marked < root.marked
+    return node.tag in ASIDE or 2 * node.chars <= root.chars
 
 
 def _walk(node: Node, slot: int, at: Part | None, root: Node, out: list[Block], above: list[Block] | None) -> None:

@@ -240,6 +240,27 @@ def test_template_text(spark):
     assert {got[i] for i in range(20, 25)} == {"always the same"}
 
 
+def test_class_words_drop_no_main_text(spark):
+    rows = []
+    for i in range(6):
+        text = f"<p>long enough text number {i} of the page</p>"
+        rows += [
+            (10 + i, "https://a.org", f"<body class='has-sidebar nav'><article>{text}</article><div class='ad'>x</div></body>"),
+            (20 + i, "https://b.org", f"<body><div class='no-ads'>{text}</div><div class='header-fixed'>also {i}</div><nav>a b c</nav></body>"),
+            (30 + i, "https://c.org", f"<body><form class=search>{text}</form><div>rest {i}</div></body>"),
+            # Two templates on a host: neither loses its text to the other.
+            (40 + i, "https://d.org", f"<body><div id=main>{text * 9}</div></body>" if i else "<body><div id=main>x</div><div id=other>mostly here</div></body>"),
+        ]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["row"]["page_id"]: r["out"]["text"] for r in extract_main_text(table).collect()}
+    for i in range(6):
+        text = f"long enough text number {i} of the page"
+        assert got[10 + i] == text
+        assert got[20 + i] == f"{text} also {i}"
+        assert got[30 + i] == f"{text} rest {i}"
+    assert got[40] == "x mostly here"
+
+
 def test_quotations(spark):
     rows = [
         (1, 0, "user", "Hello there.\n\nHow  are you?\nFine days these are."),
