@@ -115,6 +115,30 @@ def test_toxicity_on_held_out_texts(spark):
     assert toxicity.score(rows, toxicity.train(rows, known.where("false"))).where("out.grade > 0").count() == 0
 
 
+def test_rare_toxic_words_count(spark):
+    rng = random.Random(4)
+    plain = [f"wort{i}" for i in range(200)]
+    docs, labels, rare = [], [], ["qzzug", "xyffo", "vrukk", "jwopp"]
+    for i in range(640):
+        w = [rng.choice(plain) for _ in range(rng.randint(5, 40))]
+        bad = i % 4 == 0
+        if bad:
+            w[0] = rare[i // 4 % 4] if i < 48 or i >= 600 else "idiot"
+        docs.append((i, " ".join(w)))
+        if i < 600:
+            labels.append((i, int(bad)))
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.train(rows, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r["row"]["doc_id"]: r["out"]["grade"] for r in toxicity.score(rows, model).collect()}
+    assert all((got[i] > 0) == (i % 4 == 0) for i in range(600, 640))
+
+
+def test_threshold_of_fewest_errors():
+    toxic = np.array([False, False, True, True])
+    assert toxicity.shift(np.array([-3.0, -1.0, 2.0, 4.0]), toxic) == 0
+    assert toxicity.shift(np.array([-3.0, 1.0, 2.0, 4.0]), toxic) == 1.5
+
+
 def test_language_model(spark):
     rng = random.Random(4)
     a, b = [f"la{i}" for i in range(30)], [f"der{i}x" for i in range(30)]
