@@ -205,3 +205,11 @@ def test_pmi_of_very_frequent_words_does_not_overflow(spark):
     counts = spark.createDataFrame([("a", 5_000_000_000), ("b", 5_000_000_000)], "word string, n long")
     row = cooccur._pmi(pairs, counts, F.lit(1e10), "log10").first()
     assert abs(row.pmi - 0.30103) < 1e-4
+
+
+def test_ids_of_very_long_documents_do_not_collide(spark):
+    documents = spark.sql(
+        "SELECT 0L AS doc_id, repeat('a\\n', 1000003) AS text UNION ALL SELECT 1L, 'b\\nc\\nd'"
+    )
+    n, ids = scan_lines(documents).selectExpr("count(*)", "count(DISTINCT line_id)").first()
+    assert n == ids == 1_000_006
