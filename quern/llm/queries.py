@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from quern.llm.near_vectors import near_duplicate_vectors
 from quern.llm.quotations import link_quotations
 from quern.llm.substring_dedup import remove_repeated_passages
 from quern.llm.suffix_dedup import remove_repeated_bytes
+from quern.llm.token_files import read_token_files, write_token_files
 from quern.llm.toxicity import score, train
 from quern.llm.wrappers import extract_main_text
 from quern.sources.tables import scan_parquet
@@ -93,6 +95,11 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(scan_parquet(spark, folder, "documents"), scan_parquet(spark, folder, "labels"))
 
 
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = scan_parquet(spark, folder, "documents").select("doc_id", "text")
+    return read_token_files(write_token_files(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_quotation_linking,
@@ -105,6 +112,7 @@ def queries() -> dict[str, Query]:
         op8_mix_sources,
         op9_embedding_near_dedup,
         op10_html_extraction,
+        op13_token_files,
     )
     return {q.__name__: q for q in named}
 
