@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import language_model
 from quern.llm.decontaminate import decontaminate
+from quern.llm.hard_negatives import hard_negatives
 from quern.llm.mixture import mix_sources, word_count
 from quern.llm.near_duplicates import near_duplicate_classes
 from quern.llm.near_vectors import near_duplicate_vectors
@@ -95,6 +96,12 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(scan_parquet(spark, folder, "documents"), scan_parquet(spark, folder, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = scan_parquet(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = scan_parquet(spark, folder, "documents").select("doc_id", "text")
     return read_token_files(write_token_files(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -112,6 +119,7 @@ def queries() -> dict[str, Query]:
         op8_mix_sources,
         op9_embedding_near_dedup,
         op10_html_extraction,
+        op12_hard_negatives,
         op13_token_files,
     )
     return {q.__name__: q for q in named}
@@ -156,5 +164,28 @@ FROM ahead
 """
 
 
+HARD_NEGATIVES_SQL = """
+WITH vectors AS MATERIALIZED (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, list_inner_product(a.q, r.q)::BIGINT AS score
+  FROM vectors a JOIN vectors r ON len(a.q) = len(r.q) AND a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, p.vec_id AS positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mix_sources": MIX_SQL}
+    return {"op8_mix_sources": MIX_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL}
