@@ -15,6 +15,7 @@ from quern.llm.mixture import mix_sources, word_count
 from quern.llm.near_duplicates import near_duplicate_classes
 from quern.llm.near_vectors import near_duplicate_vectors
 from quern.llm.quotations import link_quotations
+from quern.llm.spelling import spelling_variants, words_with_slips
 from quern.llm.substring_dedup import remove_repeated_passages
 from quern.llm.suffix_dedup import remove_repeated_bytes
 from quern.llm.token_files import read_token_files, write_token_files
@@ -96,6 +97,10 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(scan_parquet(spark, folder, "documents"), scan_parquet(spark, folder, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(words_with_slips(scan_parquet(spark, folder, "documents").select("doc_id", "text")))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     vectors = scan_parquet(spark, folder, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -119,6 +124,7 @@ def queries() -> dict[str, Query]:
         op8_mix_sources,
         op9_embedding_near_dedup,
         op10_html_extraction,
+        op11_spelling_variants,
         op12_hard_negatives,
         op13_token_files,
     )

@@ -2,8 +2,9 @@
 
 Documents are sorted by id over range partitions. Every task encodes its documents and lays
 their ids end to end in sequences of ``length`` ids; it writes one shard, an Arrow file whose
-record batches hold two fixed-size lists, ``ids`` (unsigned 32 bits) and ``mask`` (1 for a token,
-0 for the filling of the last sequence), and a smaller file with the documents of the shard.
+record batches hold two fixed-size lists, ``ids`` (unsigned, 16 bits if the vocabulary fits, else
+32) and ``mask`` (true for a token, false for the filling of the last sequence), and a smaller
+file with the documents of the shard.
 All batches but the last hold the same number of sequences and nothing is null or compressed:
 sequence ``i`` of a memory-mapped shard is a view at a computed place, nothing is copied.
 
@@ -37,7 +38,7 @@ from quern.llm.hashing import SPACE, texts
 from quern.llm.tables import stored
 from quern.plans.scratch import fresh_path
 
-BLOCK = 1 << 23  # bytes of text whose words are looked up at once
+BLOCK = 1 << 24  # bytes of text whose words are looked up at once
 KNOWN = 1_000_000  # pieces whose ids a worker remembers before it starts anew
 PLAIN = "^[!-~\u00C0-\u00FF]+$"  # nothing to compose, white space nowhere, lower case letter by letter
 MANIFEST = "shard int, path string, documents_path string, n_documents long, n_ids long, n_sequences long"
@@ -217,9 +218,9 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     return np.array([*cuts, len(data)], np.int64)
 
 
-def _schema(length: int) -> pa.Schema:
-    plain = lambda kind: pa.list_(pa.field("item", kind, nullable=False), length)
-    return pa.schema([pa.field("ids", plain(pa.uint32()), False), pa.field("mask", plain(pa.uint8()), False)])
+def _schema(length: int, kind: pa.DataType) -> pa.Schema:
+    lists = [pa.list_(pa.field("item", k, nullable=False), length) for k in (kind, pa.bool_())]
+    return pa.schema([pa.field("ids", lists[0], False), pa.field("mask", lists[1], False)])
 
 
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -232,9 +233,10 @@ def _opened(path: str) -> tuple[fs.FileSystem, str]:
 class _Shard:
     """Collects ids and writes them in batches of ``rows`` sequences."""
 
-    def __init__(self, path: str, length: int, rows: int) -> None:
+    def __init__(self, path: str, length: int, rows: int, kind: pa.DataType) -> None:
         store, place = _opened(path)
-        self.length, self.rows, self.schema = length, rows, _schema(length)
+        self.length, self.rows, self.schema = length, rows, _schema(length, kind)
+        self.kind = kind.to_pandas_dtype()
         self.out = store.open_output_stream(place)
         self.file = pa.ipc.new_file(self.out, self.schema)
         self.waiting: list[np.ndarray] = []
@@ -253,8 +255,8 @@ class _Shard:
             self.waiting, self.n_waiting = [ids[whole:]], len(ids) - whole
 
     def _write(self, ids: np.ndarray, size: int) -> None:
-        values, mask = np.zeros(size, np.uint32), np.zeros(size, np.uint8)
-        values[: len(ids)], mask[: len(ids)] = ids, 1
+        values, mask = np.zeros(size, self.kind), np.zeros(size, bool)
+        values[: len(ids)], mask[: len(ids)] = ids, True
         lists = [
             pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((values, mask), self.schema, strict=True)
         ]
@@ -273,7 +275,7 @@ def _write(shipped, folder: str, length: int, rows: int, end_id: int):
         from pyspark import TaskContext
 
         encoder, shard, docs = None, None, None
-        end, open_length, n_documents = np.array([end_id], np.uint32), 0, 0
+        open_length = n_documents = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -281,7 +283,10 @@ def _write(shipped, folder: str, length: int, rows: int, end_id: int):
                 name = f"{folder}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
                 store, place = _opened(folder)
                 store.create_dir(place)
-                encoder, shard = _encoder(shipped.value), _Shard(f"{name}.arrow", length, rows)
+                encoder = _encoder(shipped.value)
+                most = max(end_id, encoder.tokenizer.get_vocab_size() - 1)
+                kind = pa.uint16() if most < 1 << 16 else pa.uint32()
+                shard = _Shard(f"{name}.arrow", length, rows, kind)
                 store, place = _opened(f"{name}.documents.arrow")
                 docs_out = store.open_output_stream(place)
                 docs = pa.ipc.new_file(docs_out, DOCUMENTS)
@@ -293,7 +298,7 @@ def _write(shipped, folder: str, length: int, rows: int, end_id: int):
                     open_length += len(ids)
                     continue
                 here = np.diff(ends, prepend=0)
-                shard.add(np.insert(ids, ends, end[0]))
+                shard.add(np.insert(ids, ends, end_id))
                 here[0] += open_length
                 lengths.append(here + 1)
                 open_length = 0
@@ -376,23 +381,23 @@ class TokenFile:
         n = self.file.num_record_batches
         return (n - 1) * self.rows + self.file.get_batch(n - 1).num_rows if n else 0
 
-    def _values(self, batch: int, name: str) -> np.ndarray:
-        return self.file.get_batch(batch).column(name).flatten().to_numpy(zero_copy_only=True)
+    def _values(self, batch: int, name: str) -> pa.Array:
+        return self.file.get_batch(batch).column(name).flatten()
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """Ids and mask of sequence ``i``."""
         if not 0 <= i < len(self):
             raise IndexError(i)
         batch, row = divmod(i, self.rows)
-        at = slice(row * self.length, (row + 1) * self.length)
-        return self._values(batch, "ids")[at], self._values(batch, "mask")[at]
+        ids, mask = (self._values(batch, n).slice(row * self.length, self.length) for n in ("ids", "mask"))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def ids(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ``n`` ids from ``start`` on, as views of the batches they lie in."""
         size = self.rows * self.length
         while n > 0:
             batch, at = divmod(start, size)
-            part = self._values(batch, "ids")[at : at + n]
+            part = self._values(batch, "ids").slice(at, n).to_numpy(zero_copy_only=True)
             yield part
             start, n = start + len(part), n - len(part)
 
