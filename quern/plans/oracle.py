@@ -38,6 +38,11 @@ SELECT left_word, right_word,
   round(log10((SELECT count(*) FROM lines)::DOUBLE * p.n / (x.n * y.n)), 6) + 0.0 AS pmi, p.n AS n
 FROM pairs p JOIN frequency x ON p.left_word = x.token JOIN frequency y ON p.right_word = y.token"""
 
+STRIPES = """SELECT left_word, count(*) AS n_right, string_agg(right_word || ' ' || p.n || ' ' ||
+  round({log}({total}::DOUBLE * p.n / x.n / y.n) * 1000000)::BIGINT, chr(10) ORDER BY right_word) AS stripe
+FROM pairs p JOIN frequency x ON p.left_word = x.word JOIN frequency y ON p.right_word = y.word
+GROUP BY left_word"""
+
 RELATIVE = """SELECT left_word, right_word,
   round(n::DOUBLE / sum(n) OVER (PARTITION BY left_word), 6) + 0.0 AS frequency FROM bigrams"""
 
@@ -284,27 +289,18 @@ UNION ALL SELECT left_word, '*', sum(n)::DOUBLE FROM bigrams GROUP BY left_word"
         "pmi_pairs": PMI_PAIRS,
         "pmi_stripes": PMI_PAIRS,
         "pmi_occurrence": f"""WITH {WHOLE},
-totals AS (SELECT token, count(*) AS n FROM tokens GROUP BY token), pairs AS (
+frequency AS (SELECT token AS word, count(*) AS n FROM tokens GROUP BY token), pairs AS (
   SELECT a.token AS left_word, b.token AS right_word, count(*) AS n
-  FROM bags a JOIN bags b ON a.line_id = b.line_id AND a.token <> b.token
-  GROUP BY ALL HAVING count(*) >= 10)
-SELECT left_word, right_word,
-  round(log10((SELECT count(*) FROM tokens)::DOUBLE * p.n / (x.n * y.n)), 6) + 0.0 AS pmi,
-  p.n AS n
-FROM pairs p JOIN totals x ON p.left_word = x.token JOIN totals y ON p.right_word = y.token""",
+  FROM bags a JOIN bags b ON a.line_id = b.line_id AND a.token <> b.token GROUP BY ALL)
+{STRIPES.format(log='log10', total='(SELECT count(*) FROM tokens)')}""",
         "pmi_forward": f"""WITH {LINES},
-words AS MATERIALIZED (SELECT line_id, unnest(range(len(t))) AS pos, unnest(t) AS word
-  FROM (SELECT line_id, {RAW.format('line')} AS t FROM lines)),
-lasts AS MATERIALIZED (SELECT line_id, word, max(pos) AS last FROM words GROUP BY ALL),
-frequency AS MATERIALIZED (SELECT word, count(*) AS n FROM lasts GROUP BY word),
-lefts AS MATERIALIZED (SELECT * FROM words
-  WHERE word IN (SELECT word FROM words GROUP BY word HAVING count(*) >= 10)),
-pairs AS (SELECT a.word AS left_word, b.word AS right_word, count(*) AS n
-  FROM lefts a JOIN lasts b ON a.line_id = b.line_id AND b.last > a.pos
-  GROUP BY ALL HAVING count(*) >= 10)
-SELECT left_word, right_word,
-  round(ln((SELECT count(*) FROM lines)::DOUBLE * p.n / (x.n * y.n)), 6) + 0.0 AS pmi, p.n AS n
-FROM pairs p JOIN frequency x ON p.left_word = x.word JOIN frequency y ON p.right_word = y.word""",
+words AS MATERIALIZED (SELECT {RAW.format('line')} AS t FROM lines),
+places AS (SELECT t, unnest(range(1, len(t) + 1)) AS i FROM words),
+pairs AS (SELECT left_word, right_word, count(*) AS n FROM (
+  SELECT t[i] AS left_word, unnest(list_distinct(t[i + 1:])) AS right_word FROM places) GROUP BY ALL),
+frequency AS (SELECT word, count(*) AS n FROM (
+  SELECT unnest(list_distinct(t)) AS word FROM words) GROUP BY word)
+{STRIPES.format(log='ln', total='(SELECT count(*) FROM words)')}""",
         "pmi_window": f"""WITH {WINDOW_PAIRS},
 bags AS (SELECT DISTINCT line_id, token FROM tokens), {FREQUENCY}
 SELECT left_word, right_word,

@@ -393,12 +393,26 @@ def pmi_stripes(spark, sf):
 
 @query
 def pmi_occurrence(spark, sf):
-    return _rounded(cooccur.pmi_occurrence(text_lines(spark, sf), min_count=10), "pmi")
+    return _stripe_texts(cooccur.pmi_occurrence(text_lines(spark, sf)))
 
 
 @query
 def pmi_forward(spark, sf):
-    return _rounded(cooccur.pmi_forward(text_lines(spark, sf), min_count=10), "pmi")
+    return _stripe_texts(cooccur.pmi_forward(text_lines(spark, sf)))
+
+
+def _stripe_texts(pairs: DataFrame) -> DataFrame:
+    """All pairs of a left word in one text: right word, count and PMI in millionths, by right word."""
+    maps = bigrams.stripes(pairs, "left_word", "right_word", ["n", "pmi"])
+    entries = F.transform(
+        F.map_entries("stripe"),
+        lambda e: F.concat_ws(
+            " ", e["key"], e["value"]["n"], F.round(e["value"]["pmi"] * 1_000_000).cast("bigint")
+        ),
+    )
+    return maps.select(
+        "left_word", F.size("stripe").cast("bigint").alias("n_right"), F.array_join(entries, "\n").alias("stripe")
+    )
 
 
 @query

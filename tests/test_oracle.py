@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_points
+from quern.plans.oracle import all_sql
+from quern.plans.queries import all_queries
 from tools.check import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,13 +19,15 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(all_sql()))
 def test_query_equals_sql(spark, duck, name):
-    mine = entry_points.queries()[name](spark, FOLDER).toPandas()
-    other = duck.execute(entry_points.oracle_sql()[name]).df()
+    mine = all_queries()[name](spark, FOLDER).toPandas()
+    other = duck.execute(all_sql()[name]).df()
     assert difference(mine, other) is None
 
 

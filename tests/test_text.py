@@ -173,6 +173,7 @@ def test_pmi_occurrence_without_threshold(spark):
         for (x, y), n in shared_lines(set(t) for t in all_tokens).items()
     }
     close(cooccur.pmi_occurrence(as_lines(spark, corpus)), expected)
+    close(cooccur.pmi_occurrence(as_lines(spark, corpus), places_per_block=2), expected)
 
 
 @pytest.mark.parametrize("total", [None, 156215])
@@ -190,6 +191,27 @@ def test_pmi_forward_without_threshold(spark, total):
         (x, y): (math.log(n_lines * n / (words[x] * words[y])), n) for (x, y), n in pairs.items()
     }
     close(cooccur.pmi_forward(as_lines(spark, corpus), total), expected)
+    close(cooccur.pmi_forward(as_lines(spark, corpus), total, places_per_block=3), expected)
+
+
+def test_a_very_long_line_is_paired_in_blocks(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(40)}" for _ in range(100_000)]
+    lasts, n = {w: i for i, w in enumerate(words)}, Counter()
+    before = Counter()
+    for i, w in enumerate(words):
+        n.update({(x, w): c for x, c in before.items()} if lasts[w] == i else {})
+        before[w] += 1
+    lines = as_lines(spark, [" ".join(words), "w1 w2"])
+    n["w1", "w2"] += 1
+    got = cooccur.pmi_forward(lines).collect()
+    assert {(r.left_word, r.right_word): r.n for r in got} == {k: v for k, v in n.items() if v}
+    placed = lines.select(F.split("line", " ").alias("words")).select(
+        cooccur._placed(F.col("words")).alias("left"), cooccur._placed(F.col("words")).alias("right")
+    )
+    blocks = cooccur.line_blocks(placed, 1024)
+    sizes = blocks.agg(F.max(F.size("left")), F.max(F.size("right")), F.count("*")).first()
+    assert tuple(sizes) == (1024, 1024, 98 * 99 // 2 + 1)
 
 
 def test_a_last_newline_opens_no_line(spark):
