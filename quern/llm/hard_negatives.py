@@ -31,8 +31,7 @@ from quern.llm.tables import stored
 
 PLANES = 6
 TOP = (1 << (PLANES - 1)) - 1
-SLICE = 64  # anchors whose intervals with a block of rows are held at once
-PAIRS = 1 << 16  # pairs that are scored at once
+SLICE = 32  # anchors whose intervals with a block of rows are held at once
 MOST = 1 << 53  # scores stay below it
 
 
@@ -111,6 +110,7 @@ class Block:
         column = lambda name: table.column(name).combine_chunks()
         self.id, self.label = column("id").to_numpy(), column("label").to_numpy()
         self.q = _matrix(column("q"), "<i8", n)
+        self.exact = self.q.astype(float)
         self.code = _matrix(column("code"), "<u8", n)
         self.norm, self.align = column("norm").to_numpy(), column("align").to_numpy()
         self.across = np.sqrt(np.maximum(0, 1 - self.align**2))
@@ -124,11 +124,11 @@ class Block:
         rounded = np.rint(turned / step[:, None]).astype(np.int64)
         off = np.sqrt(((turned - rounded * step[:, None]) ** 2).sum(1))
         unsigned = rounded + TOP
-        inside = np.zeros((len(anchors), len(self.q)), np.int64)
+        inside = np.zeros((len(anchors), len(self.q)), np.int32)
         for p in range(PLANES):
             plane = _words((unsigned >> p) & 1 == 1)
             for w in range(plane.shape[1]):
-                inside += np.bitwise_count(plane[:, None, w] & self.code[None, :, w]).astype(np.int64) << p
+                inside += np.bitwise_count(plane[:, None, w] & self.code[None, :, w]) * np.int32(1 << p)
         # Signs are twice the bits less one, components the unsigned ones less TOP.
         signed = 2 * inside - unsigned.sum(1)[:, None] - TOP * (2 * self.ones - width)[None, :]
         s = signed * (step / np.sqrt(width))[:, None]
@@ -139,12 +139,14 @@ class Block:
         return middle, middle - half, middle + half
 
     def scores(self, anchors: np.ndarray, a: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """Integer products of anchors ``a`` and rows ``r``."""
-        out = np.empty(len(a), np.int64)
-        for at in range(0, len(a), PAIRS):
-            here = slice(at, at + PAIRS)
-            out[here] = np.einsum("ij,ij->i", anchors[a[here]], self.q[r[here]])
-        return out
+        """Integer products of anchors ``a`` and rows ``r``: one product of all anchors with the rows
+        that any of them needs, exact in double precision as no partial sum passes 2**53."""
+        used = np.zeros(len(self.q), bool)
+        used[r] = True
+        rows, at = self.exact, r
+        if 2 * used.sum() < len(used):
+            rows, at = self.exact[used], (np.cumsum(used) - 1)[r]
+        return (anchors.astype(float) @ rows.T)[a, at].astype(np.int64)
 
 
 def _largest(values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,23 +177,36 @@ def _kth(a: np.ndarray, score: np.ndarray, n: int, k: int) -> np.ndarray:
 
 
 def best_rows(block: Block, anchors: np.ndarray, barred: np.ndarray, low: np.ndarray, high: np.ndarray, k: int):
-    """For each anchor the first ``k`` rows with a score from ``low`` to ``high`` that are not
-    ``barred`` (anchors x rows): anchors, rows, scores. Some rows of best estimates give a k-th
-    best score; every row whose interval reaches it and the window is scored after that."""
+    """For each anchor and window (columns of ``low`` and ``high``) the first ``k`` rows with a score
+    in it that are not ``barred`` (anchors x rows): anchors, rows, scores of each window.
+
+    Some rows of good estimates give every window a k-th best score; then each row whose interval
+    reaches one of these and the windows is scored."""
     middle, least, most = block.intervals(anchors)
+    filled = low <= high
+    bottom = np.where(filled, low, np.inf).min(1, keepdims=True)
+    top = np.where(filled, high, -np.inf).max(1, keepdims=True)
+    reach = ~barred & (most >= bottom) & (least <= top)
+    guess = np.zeros(reach.shape, bool)
+    for w in {0, low.shape[1] - 1}:
+        near = np.minimum(middle, 2 * high[:, w, None] - middle)
+        guess[_largest(np.where(reach, near, -np.inf), 4 * k)] = True
+    a, r = np.nonzero(guess)
+    score = block.scores(anchors, a, r)
+    need = low.copy()
+    for w in range(low.shape[1]):
+        here = np.flatnonzero((score >= low[a, w]) & (score <= high[a, w]))
+        need[:, w] = np.maximum(low[:, w], _kth(a[here], score[here], len(anchors), k))
+    least_need = np.where(filled, need, np.inf).min(1, keepdims=True)
+    a, r = np.nonzero(reach & (most >= least_need))
+    score = block.scores(anchors, a, r)
+    fine = score >= least_need[a, 0]
+    a, r, score = a[fine], r[fine], score[fine]
     out = []
     for w in range(low.shape[1]):
-        bottom, top = low[:, w, None], high[:, w, None]
-        reach = ~barred & (most >= bottom) & (least <= top)
-        a, r = _largest(np.where(reach, np.minimum(middle, 2 * top - middle), -np.inf), 4 * k)
-        score = block.scores(anchors, a, r)
-        inside = (score >= low[a, w]) & (score <= high[a, w])
-        kth = _kth(a[inside], score[inside], len(anchors), k)
-        a, r = np.nonzero(reach & (most >= kth[:, None]))
-        score = block.scores(anchors, a, r)
-        inside = np.flatnonzero((score >= low[a, w]) & (score <= high[a, w]))
-        inside = inside[_first(a[inside], score[inside], block.id[r[inside]], k)]
-        out.append((a[inside], r[inside], score[inside]))
+        here = np.flatnonzero((score >= need[a, w]) & (score <= high[a, w]))
+        here = here[_first(a[here], score[here], block.id[r[here]], k)]
+        out.append((a[here], r[here], score[here]))
     return out
 
 
@@ -243,9 +258,12 @@ def _searched(rows: DataFrame, anchors: DataFrame, same_label: bool, k: int, per
     other = rows.join(sizes, part).withColumn("j", own("n_rows")).withColumn("i", each("n_anchors"))
     home = home.withColumn("side", F.lit(True))
     other = other.withColumn("side", F.lit(False)).withColumn("scores", F.lit(None).cast("array<long>"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
         home.select(*columns)
         .unionByName(other.select(*columns))
+        # An explicit number: blocks are small to move and much work, so none are merged.
+        .repartition(tasks, *part, "i", "j")
         .groupBy(*part, "i", "j")
         .applyInArrow(_compare(same_label, k, percent), "anchor_row long, place int, id long, score long")
     )
@@ -263,8 +281,8 @@ def hard_negatives(
     positives: int = 5,
     negatives: int = 3,
     percent: tuple[int, int] = (50, 95),
-    rows_per_block: int = 8192,
-    anchors_per_block: int = 1024,
+    rows_per_block: int = 4096,
+    anchors_per_block: int = 512,
 ) -> DataFrame:
     """``(anchor_id, positive_id, rank, negative_id, positive_score, negative_score)``.
 

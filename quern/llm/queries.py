@@ -173,10 +173,10 @@ FROM ahead
 HARD_NEGATIVES_SQL = """
 WITH vectors AS MATERIALIZED (
   SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), scored AS MATERIALIZED (
   SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, list_inner_product(a.q, r.q)::BIGINT AS score
   FROM vectors a JOIN vectors r ON len(a.q) = len(r.q) AND a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
