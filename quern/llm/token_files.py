@@ -38,8 +38,9 @@ from quern.llm.hashing import SPACE, texts
 from quern.llm.tables import stored
 from quern.plans.scratch import fresh_path
 
-BLOCK = 1 << 24  # bytes of text whose words are looked up at once
-KNOWN = 1_000_000  # pieces whose ids a worker remembers before it starts anew
+BLOCK = 1 << 23  # bytes of text whose words are looked up at once
+KNOWN = 300_000  # pieces whose ids a worker remembers before it starts anew
+RUNS = 1 << 16  # words whose ids are put in place at once
 PLAIN = "^[!-~\u00C0-\u00FF]+$"  # nothing to compose, white space nowhere, lower case letter by letter
 MANIFEST = "shard int, path string, documents_path string, n_documents long, n_ids long, n_sequences long"
 
@@ -183,9 +184,17 @@ def _flat(found: list[list[int]]) -> np.ndarray:
 
 
 def _gather(flat: np.ndarray, start: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The runs of ``flat`` that begin at ``start``, end to end."""
-    before = np.cumsum(counts) - counts
-    return flat[np.repeat(start - before, counts) + np.arange(counts.sum())]
+    """The runs of ``flat`` that begin at ``start``, end to end; indices are made a part at a time."""
+    out = np.empty(counts.sum(), flat.dtype)
+    done = 0
+    for at in range(0, len(start), RUNS):
+        n = counts[at : at + RUNS]
+        before = np.cumsum(n) - n
+        where = np.repeat(start[at : at + RUNS] - before, n)
+        where += np.arange(len(where))
+        np.take(flat, where, out=out[done : done + len(where)])
+        done += len(where)
+    return out
 
 
 _encoders: dict[int, Encoder] = {}
