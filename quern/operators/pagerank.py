@@ -149,14 +149,13 @@ def read_ranks(spark: SparkSession, state: str, iteration: int) -> DataFrame:
 
 
 def ppr_topk(ranks: DataFrame, k: int) -> DataFrame:
-    """``(source, place, node_id, rank)``: the k best nodes per source, rank to 5 digits.
+    """``(source, place, node_id, rank)``: the k best nodes per source, equal ranks by node id.
 
-    Ranks that agree to ten digits are ties and go by node id: the order of summing
-    must not show. The limit is applied in every task before rows are shuffled.
+    The limit is applied in every task before rows are shuffled.
     """
-    best = W.partitionBy("source").orderBy(F.desc(F.round("rank", 10)), "node_id")
+    best = W.partitionBy("source").orderBy(F.desc("rank"), "node_id")
     return (
         ranks.withColumn("place", F.row_number().over(best))
         .where(F.col("place") <= k)
-        .select("source", "place", "node_id", F.round(F.round("rank", 10), 5).alias("rank"))
+        .select("source", "place", "node_id", "rank")
     )

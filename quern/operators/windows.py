@@ -36,15 +36,28 @@ def window_count(
 
 
 def event_count_tumbling(events: DataFrame, ts: str = "ts", length: str = COUNT_WINDOW) -> DataFrame:
-    """All events per window."""
-    return window_count(events, ts, length)
+    """All events per window, 0 for silent windows between the first and the last."""
+    return with_silent_windows(window_count(events, ts, length), length)
 
 
 def region_event_count(
-    located: DataFrame, ts: str = "ts", region: str = "region", length: str = COUNT_WINDOW
+    located: DataFrame,
+    ts: str = "ts",
+    region: str = "region",
+    length: str = COUNT_WINDOW,
+    clock: DataFrame | None = None,
 ) -> DataFrame:
-    """Events per region and window."""
-    return window_count(located, ts, length, region)
+    """Events per region and window, 0 for silent windows from a region's first one on.
+
+    The last window is that of the last event of ``clock``, by default of ``located``: events
+    outside all regions may go on when those inside have ended.
+    """
+    counts = window_count(located, ts, length, region)
+    return with_silent_windows(counts, length, region, last=None if clock is None else _last(clock, ts, length))
+
+
+def _last(events: DataFrame, ts: str, length: str) -> Column:
+    return events.select(F.window(ts, length)["start"].alias("start")).agg(F.max("start")).scalar()
 
 
 def sliding_window_count(
@@ -54,24 +67,31 @@ def sliding_window_count(
     return window_count(events, ts, length, slide=slide)
 
 
-def _calendar(counts: DataFrame, key: str, length: str) -> DataFrame:
-    """``(key, window_start)``: every window from a key's first one to the last of all."""
-    last = counts.agg(F.max("window_start")).scalar()
+def _calendar(counts: DataFrame, length: str, keys: tuple[str, ...], last: Column | None = None) -> DataFrame:
+    """``(keys, window_start)``: every window from a key's first one to the last of all."""
+    if last is None:
+        last = counts.agg(F.max("window_start")).scalar()
     windows = F.sequence("first", last, F.expr(f"INTERVAL {length}"))
-    first = counts.groupBy(key).agg(F.min("window_start").alias("first"))
-    return first.select(key, F.explode(windows).alias("window_start"))
+    first = counts.groupBy(*keys).agg(F.min("window_start").alias("first")).where("first is not null")
+    return first.select(*keys, F.explode(windows).alias("window_start"))
+
 
+def with_silent_windows(counts: DataFrame, length: str, *keys: str, last: Column | None = None) -> DataFrame:
+    """Add windows without events, count 0, from a key's first window to the last of all.
 
-def with_silent_windows(counts: DataFrame, key: str, length: str) -> DataFrame:
-    """Add windows without events, count 0, from a key's first window to the last of all."""
-    silent = _calendar(counts, key, length).withColumn("n", F.lit(0).cast("bigint"))
+    Without keys there is one calendar, from the first window to the last. ``last`` is the start of
+    the last window, not before any of ``counts``. Writes the counts when called: they are read for
+    the calendar and for the sums.
+    """
+    counts = stored(counts, "windows")
+    silent = _calendar(counts, length, keys, last).withColumn("n", F.lit(0).cast("bigint"))
     window_end = F.col("window_start") + F.expr(f"INTERVAL {length}")
     return (
-        counts.select(key, "window_start", "n")
+        counts.select(*keys, "window_start", "n")
         .unionByName(silent)
-        .groupBy(key, "window_start")
+        .groupBy(*keys, "window_start")
         .agg(F.sum("n").alias("n"))
-        .select(key, "window_start", window_end.alias("window_end"), "n")
+        .select(*keys, "window_start", window_end.alias("window_end"), "n")
     )
 
 
@@ -99,7 +119,7 @@ def window_state_history(counts: DataFrame, key: str, length: str) -> DataFrame:
         zero.alias("current"),
         F.col("n").alias("previous"),
     )
-    silent = _calendar(counts, key, length).select(
+    silent = _calendar(counts, length, (key,)).select(
         key, F.col("window_start").alias("at"), zero.alias("current"), zero.alias("previous")
     )
     return (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 LINES = """lines AS (
-  SELECT doc_id, line_no, doc_id * 1000000 + line_no AS line_id, line FROM (
+  SELECT doc_id, line_no, doc_id * 2147483648 + line_no AS line_id, line FROM (
     SELECT doc_id, unnest(range(len(p))) AS line_no, unnest(p) AS line
     FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)))"""
 
@@ -183,6 +183,16 @@ located AS (
 IN_REGION = "(SELECT * FROM located WHERE region IS NOT NULL)"
 
 
+def _filled(key: str = "", source: str = "events") -> str:
+    """Hourly counts with the silent windows up to the last event of all."""
+    comma, group = (f"{key}, ", f"GROUP BY {key}") if key else ("", "")
+    return f"""w AS ({_windows(HOUR, '1 hour', key, source)}),
+spans AS (SELECT {comma}unnest(generate_series(min(window_start),
+    (SELECT max({HOUR}) FROM events), INTERVAL 1 hour)) AS window_start FROM w {group}),
+filled AS (SELECT {comma}window_start, window_start + INTERVAL 1 hour AS window_end, coalesce(n, 0) AS n
+  FROM spans LEFT JOIN w USING ({comma}window_start))"""
+
+
 def _history(closed: str) -> str:
     return f"""w AS ({_windows(HOUR, '1 hour', 'event_type')}),
 spans AS (SELECT event_type, unnest(generate_series(min(window_start),
@@ -381,14 +391,14 @@ SELECT doc_id, label, score, {ANSWER} FROM e""",
         "one_minus_roca": f"""WITH {SCORED},
 r AS (SELECT model_id, label, round(score, 4) AS score FROM scored),
 {ROC}""",
-        "event_count_tumbling": f"""WITH w AS ({_windows(HOUR, '1 hour')})
-SELECT {STAMPS}, n FROM w""",
-        "event_count_tumbling_stream": f"""WITH w AS ({_windows(HOUR, '1 hour')})
-SELECT {STAMPS}, n FROM w""",
-        "region_event_count": f"""WITH {LOCATED}, w AS (
-{_windows(HOUR, '1 hour', 'region', IN_REGION)}) SELECT region, {STAMPS}, n FROM w""",
-        "region_event_count_stream": f"""WITH {LOCATED}, w AS (
-{_windows(HOUR, '1 hour', 'region', IN_REGION)}) SELECT region, {STAMPS}, n FROM w""",
+        "event_count_tumbling": f"""WITH {_filled()}
+SELECT {STAMPS}, n FROM filled""",
+        "event_count_tumbling_stream": f"""WITH {_filled()}
+SELECT {STAMPS}, n FROM filled""",
+        "region_event_count": f"""WITH {LOCATED}, {_filled('region', IN_REGION)}
+SELECT region, {STAMPS}, n FROM filled""",
+        "region_event_count_stream": f"""WITH {LOCATED}, {_filled('region', IN_REGION)}
+SELECT region, {STAMPS}, n FROM filled""",
         "window_state_history": f"WITH {_history('true')} SELECT * FROM shown",
         "window_state_history_stream": f"WITH {_history('true')} SELECT * FROM shown",
         "trending_alerts": f"WITH {_history('true')} SELECT * FROM shown WHERE {ALERT}",
@@ -398,6 +408,6 @@ w AS (SELECT time_bucket(INTERVAL 15 minutes, ts) - to_minutes(back) AS window_s
     time_bucket(INTERVAL 15 minutes, ts) - to_minutes(back) + INTERVAL 1 hour AS window_end,
     count(*) AS n FROM events, steps GROUP BY ALL)
 SELECT {STAMPS}, n FROM w""",
-        "stream_recovery": f"""WITH w AS ({_windows(HOUR, '1 hour')})
-SELECT {STAMPS}, n FROM w""",
+        "stream_recovery": f"""WITH {_filled()}
+SELECT {STAMPS}, n FROM filled""",
     }

@@ -5,29 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Room for line numbers within one document id.
-LINES_PER_DOCUMENT = 1_000_000
+# Room for line numbers within one document id: more than an array of lines can have.
+LINES_PER_DOCUMENT = 1 << 31
+MOST_DOCUMENT = (1 << 32) - 1
 
 
 def scan_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, line_no, line_id, line)`` of a table of whole texts; a last newline ends the
     last line and opens no other.
 
-    Lines from number 1,000,000 on have negative ids, so that they never meet those of the following
-    documents; ids of documents that long must be from 0 to 2^32 - 1, or the job fails. Ids are
-    unique as long as no document id is negative."""
+    ``line_id`` is ``doc_id * 2**31 + line_no``: unique for unique document ids and ascending by
+    document and line, however long a document is. Document ids are from -2**32 to 2**32 - 1; any
+    other fails the job. A null id gives null line ids, a null text no lines."""
     number, line_no = F.col("doc_id").cast("bigint"), F.col("line_no")
-    far = F.when(
-        number.between(0, (1 << 32) - 1), -1 - (number * F.lit(1 << 31) + line_no)
-    ).otherwise(F.raise_error(F.lit("document id out of range for a document of over 1,000,000 lines")).cast("bigint"))
+    wrong = F.raise_error(F.lit("document id out of range for line ids")).cast("bigint")
     return documents.select(
         F.col(doc_id).alias("doc_id"),
         F.posexplode(F.split(F.regexp_replace(text, r"\n\z", ""), "\n")).alias("line_no", "line"),
     ).select(
         "doc_id",
         "line_no",
-        F.when(line_no < LINES_PER_DOCUMENT, F.col("doc_id") * LINES_PER_DOCUMENT + line_no)
-        .otherwise(far)
+        F.when(number.isNull() | number.between(-1 - MOST_DOCUMENT, MOST_DOCUMENT), number * LINES_PER_DOCUMENT + line_no)
+        .otherwise(wrong)
         .alias("line_id"),
         "line",
     )

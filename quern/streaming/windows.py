@@ -84,8 +84,8 @@ class TrendState(StatefulProcessor):
 
 
 def stream_state_history(counts: DataFrame, key: str, length: timedelta) -> DataFrame:
-    """``window_state_history`` of a stream of closed window counts."""
-    counts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """``window_state_history`` of a stream of closed window counts; ``drain`` sets the state store
+    that this needs, a stream that is started otherwise has to set it itself."""
     history = (
         counts.select(
             F.col(key).alias("key"), F.unix_millis("window_end").alias("end_ms"), "n"
@@ -109,15 +109,39 @@ def stream_state_history(counts: DataFrame, key: str, length: timedelta) -> Data
     )
 
 
+def stream_with_silent_windows(counts: DataFrame, length: timedelta, *keys: str) -> DataFrame:
+    """Closed window counts of a stream with windows without events, count 0, added.
+
+    The windows of a key, or all windows where there is none, run from the first to the watermark:
+    a timer in event time stands at the end of the next window and reports it empty when nothing
+    else has closed it.
+    """
+    # Keys travel as one text and come back as they were.
+    rows = counts.withColumn("_key", F.to_json(F.struct(*keys)) if keys else F.lit(""))
+    history = stream_state_history(rows, "_key", length)
+    kinds = counts.select(*keys).schema
+    named = F.from_json("_key", kinds)
+    return history.select(
+        *[named[k].alias(k) for k in keys], "window_start", "window_end", F.col("current").alias("n")
+    )
+
+
 def write_windows(closed: DataFrame, path: str, checkpoint: str, end: str = "window_end"):
-    """One folder per closed window, named by its end in milliseconds."""
+    """One folder per closed window, named by its end in milliseconds, exactly once.
+
+    Every micro-batch puts its windows into folders of window and batch. A batch that failed between
+    writing and being committed runs again with the same input and number, and then replaces the
+    folders it had written.
+    """
+
+    def put(rows: DataFrame, batch_id: int) -> None:
+        placed = rows.withColumn("window_ms", F.unix_millis(end)).withColumn("batch", F.lit(batch_id))
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "window_ms", "batch"
+        ).parquet(path)
+
     return (
-        closed.withColumn("window_ms", F.unix_millis(end))
-        .writeStream.partitionBy("window_ms")
-        .outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
+        closed.writeStream.outputMode("append").foreachBatch(put).option("checkpointLocation", checkpoint)
     )
 
 
@@ -137,13 +161,15 @@ def drain(spark: SparkSession, writer) -> None:
     State is kept in no more partitions than there are cores, so that a micro-batch,
     however small, is one wave of tasks. A restarted stream keeps its first number.
     """
-    name = "spark.sql.shuffle.partitions"
-    before = int(spark.conf.get(name))
-    spark.conf.set(name, str(min(before, spark.sparkContext.defaultParallelism)))
+    shuffle, provider = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"
+    before = {shuffle: spark.conf.get(shuffle), provider: spark.conf.get(provider)}
+    spark.conf.set(shuffle, str(min(int(before[shuffle]), spark.sparkContext.defaultParallelism)))
+    spark.conf.set(provider, ROCKSDB)
     try:
         running = writer.trigger(availableNow=True).start()
     finally:
-        spark.conf.set(name, str(before))
+        for name, value in before.items():
+            spark.conf.set(name, value)
     running.awaitTermination()
 
 

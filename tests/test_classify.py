@@ -116,14 +116,14 @@ def test_model_store(spark, models, tmp_path):
     assert sinks.read_models(spark, path, [2]).count() == 2
 
 
-@pytest.mark.parametrize("bands", [2, 7, 256])
-def test_area_with_ties(spark, bands):
+@pytest.mark.parametrize("points_per_part", [1, 3, 11, 1000])
+def test_area_with_ties(spark, points_per_part):
     rng = random.Random(11)
     rows = [(g, rng.randint(0, 1), float(rng.randint(-9, 9))) for g in (1, 2) for _ in range(120)]
     # A third of one group has the same score.
     rows += [(1, i % 2, 0.0) for i in range(60)]
     scored = spark.createDataFrame(rows, "model_id int, label int, score double")
-    got = {r.model_id: r.one_minus_roca for r in evaluate.one_minus_roca(scored, bands=bands).collect()}
+    got = {r.model_id: r.one_minus_roca for r in evaluate.one_minus_roca(scored, points_per_part=points_per_part).collect()}
     for g in (1, 2):
         spam = [s for m, y, s in rows if m == g and y == 1]
         ham = [s for m, y, s in rows if m == g and y == 0]
@@ -131,6 +131,26 @@ def test_area_with_ties(spark, bands):
         assert got[g] == pytest.approx((1 - won / (len(spam) * len(ham))) * 100)
 
 
+def test_area_in_parts_that_do_not_grow(spark):
+    for n in (2_000, 20_000):
+        points = spark.range(n).selectExpr("id % 3 AS model_id", "id / 7 AS score", "1L AS spam", "id % 5 AS ham")
+        below = evaluate.ham_below(points, points_per_part=500)
+        largest, parts = below.groupBy("part").count().agg(F.max("count"), F.count("*")).first()
+        assert largest < 1500 and n / 1500 < parts <= n / 500
+        got = {(r.model_id, r.score): r.ham_below for r in below.collect()}
+        run = [0, 0, 0]
+        for i in range(n):
+            assert got[i % 3, i / 7] == run[i % 3]
+            run[i % 3] += i % 5
+
+
+def test_area_without_spam_and_with_nulls(spark):
+    rows = [(1, 0, 0.5), (1, 0, 0.1), (None, 1, 0.2), (None, 0, None), (None, 0, 0.9)]
+    scored = spark.createDataFrame(rows, "model_id int, label int, score double")
+    assert {r.model_id: r.one_minus_roca for r in evaluate.one_minus_roca(scored).collect()} == {1: None, None: 50.0}
+    assert evaluate.one_minus_roca(scored.where("false")).count() == 0
+
+
 def test_shuffle_is_repeatable(training):
     def order(seed):
         return [r.doc_id for r in classify.shuffle_instances(training, seed).collect()]

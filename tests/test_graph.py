@@ -95,12 +95,12 @@ def test_step_and_missing_mass(tiny):
 
 def test_topk(spark):
     ranks = spark.createDataFrame(
-        [(1, n, 0.1 * (n % 3) + 0.1) for n in range(9)] + [(2, 5, 1.0)],
+        [(1, n, 0.25 * (n % 3) + 0.25) for n in range(9)] + [(2, 5, 1.0)],
         "source bigint, node_id bigint, rank double",
     )
     top = pagerank.ppr_topk(ranks, 4)
     assert sorted(map(tuple, top.collect())) == [
-        (1, 1, 2, 0.3), (1, 2, 5, 0.3), (1, 3, 8, 0.3), (1, 4, 1, 0.2), (2, 1, 5, 1.0),
+        (1, 1, 2, 0.75), (1, 2, 5, 0.75), (1, 3, 8, 0.75), (1, 4, 1, 0.5), (2, 1, 5, 1.0),
     ]
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan

@@ -90,6 +90,8 @@ def test_stream_window_folders(spark, tmp_path):
     stream = replay.stream_files(spark, folder, SCHEMA)
     closed = streams.stream_window_count(stream, "ts", "10 minutes", "0 minutes")
     streams.drain(spark, streams.write_windows(closed, str(tmp_path / "out"), str(tmp_path / "check")))
+    read = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.n for r in read.collect()) == [1, 2, 3, 5]
     stamps = {int(p.name.split("=")[1]) for p in (tmp_path / "out").glob("window_ms=*")}
     epoch = datetime(1970, 1, 1)
     assert stamps == {
@@ -97,6 +99,84 @@ def test_stream_window_folders(spark, tmp_path):
     }
 
 
+def test_windows_are_written_once_when_a_batch_fails_before_its_commit(spark, tmp_path):
+    """The batch has written its folders, the stream dies before it counts as done."""
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    land(spark, EVENTS[:5], folder)
+    land(spark, EVENTS[5:], folder)
+    land(spark, [("z", minute(51))], folder)
+    writes = []
+
+    def writer(fails):
+        stream = replay.stream_files(spark, folder, SCHEMA)
+        closed = streams.stream_window_count(stream, "ts", "10 minutes", "0 minutes", "key")
+
+        class Dying:
+            """A stream writer whose first batch with rows fails after it has written them."""
+
+            def __init__(self, frame):
+                self.writeStream, self.frame = self, frame
+
+            def outputMode(self, mode):
+                self.real = self.frame.writeStream.outputMode(mode)
+                return self
+
+            def foreachBatch(self, put):
+                def once(rows, batch_id):
+                    put(rows, batch_id)
+                    writes.append(batch_id)
+                    if rows.count():
+                        raise OSError("lost before the commit")
+
+                return self.real.foreachBatch(once if fails else put)
+
+        return streams.write_windows(Dying(closed), out, check)
+
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost before the commit"):
+            streams.drain(spark, writer(True))
+    assert len(writes) > len(set(writes))  # the same batch was written again
+    streams.drain(spark, writer(False))
+    streams.drain(spark, writer(False))
+    got = sorted((r.window_ms, r.key, r.n) for r in spark.read.parquet(out).collect())
+    batch = windows.window_count(spark.createDataFrame(EVENTS, SCHEMA), "ts", "10 minutes", "key")
+    wanted = batch.select(F.unix_millis("window_end").alias("ms"), "key", "n").collect()
+    assert got == sorted(map(tuple, wanted))
+
+
+SPARSE = [("a", minute(1)), ("b", minute(35)), ("b", minute(38)), ("a", minute(72))]
+
+
+def filled(frame, *keys):
+    return {tuple(r[c] for c in (*keys, "window_start", "window_end", "n")) for r in frame.collect()}
+
+
+def test_silent_windows_in_batch_and_stream(spark, tmp_path):
+    events = spark.createDataFrame(SPARSE, SCHEMA)
+    counts = {0: 1, 30: 2, 70: 1}
+    wanted = {(minute(m), minute(m + 10), counts.get(m, 0)) for m in range(0, 80, 10)}
+    assert filled(windows.event_count_tumbling(events, "ts", "10 minutes")) == wanted
+    of_b = {("b", minute(m), minute(m + 10), 2 if m == 30 else 0) for m in range(30, 80, 10)}
+    of_a = {("a", minute(m), minute(m + 10), 1 if m in (0, 70) else 0) for m in range(0, 80, 10)}
+    assert filled(windows.region_event_count(events, "ts", "key", "10 minutes"), "key") == of_a | of_b
+    only_b = events.where("key = 'b'")
+    assert len(filled(windows.region_event_count(only_b, "ts", "key", "10 minutes"), "key")) == 1
+    assert filled(windows.region_event_count(only_b, "ts", "key", "10 minutes", clock=events), "key") == of_b
+    assert windows.event_count_tumbling(events.where("false"), "ts", "10 minutes").count() == 0
+
+    for i, row in enumerate([*SPARSE, ("z", minute(80))]):
+        land(spark, [row], str(tmp_path / "in"))
+        if i in (1, 4):  # a restart in the silence
+            for keys, out in (((), "all"), (("key",), "keyed")):
+                stream = replay.stream_files(spark, str(tmp_path / "in"), SCHEMA)
+                counted = streams.stream_window_count(stream, "ts", "10 minutes", "0 minutes", *keys)
+                rows = streams.stream_with_silent_windows(counted, timedelta(minutes=10), *keys)
+                found = streams.drained(spark, rows, str(tmp_path / out))
+                if i == 4:
+                    assert filled(found, *keys) == (of_a | of_b if keys else wanted)
+                    assert found.schema["n"].dataType.typeName() == "long"
+
+
 def test_replay_needs_a_folder(spark, tmp_path):
     file = tmp_path / "part-0"
     file.write_text("x")

@@ -229,9 +229,15 @@ def test_pmi_of_very_frequent_words_does_not_overflow(spark):
     assert abs(row.pmi - 0.30103) < 1e-4
 
 
-def test_ids_of_very_long_documents_do_not_collide(spark):
+def test_ids_of_very_long_documents_do_not_collide_and_ascend(spark):
     documents = spark.sql(
         "SELECT 0L AS doc_id, repeat('a\\n', 1000003) AS text UNION ALL SELECT 1L, 'b\\nc\\nd'"
+        " UNION ALL SELECT -1L, 'e\\nf' UNION ALL SELECT 4294967295L, 'g'"
     )
-    n, ids = scan_lines(documents).selectExpr("count(*)", "count(DISTINCT line_id)").first()
-    assert n == ids == 1_000_006
+    lines = scan_lines(documents)
+    n, ids = lines.selectExpr("count(*)", "count(DISTINCT line_id)").first()
+    assert n == ids == 1_000_009
+    ordered = lines.selectExpr("line_id - lag(line_id) OVER (ORDER BY doc_id, line_no) AS step")
+    assert ordered.where("step <= 0").count() == 0
+    with pytest.raises(Exception, match="out of range"):
+        scan_lines(spark.sql("SELECT 4294967296L AS doc_id, 'x' AS text")).collect()
