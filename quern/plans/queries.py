@@ -38,6 +38,7 @@ from quern.plans.inputs import (
 )
 from quern.plans.scratch import fresh_path, stored
 from quern.sources import graphs, sinks, tables
+from quern.sources import index_store as indexes
 from quern.sources import instances as labelled
 from quern.sources.lines import LINES_PER_DOCUMENT
 from quern.streaming import replay
@@ -176,10 +177,10 @@ def model_store(spark, sf):
 @query
 def index_store(spark, sf):
     path = fresh_path(spark, "index")
-    sinks.write_index(index.posting_blocks(text_lines(spark, sf)), path)
-    blocks, dictionary = sinks.read_index(spark, path)
-    return dictionary.join(
-        blocks.groupBy("term").agg(
+    indexes.write_index(index.posting_blocks(text_lines(spark, sf)), path)
+    found = indexes.read_index(spark, path)
+    return found.dictionary.drop("slices").join(
+        found.blocks.groupBy("term").agg(
             F.sum(F.size("postings")).alias("stored"),
             F.min(F.element_at("postings", 1)["line_id"]).alias("first_id"),
             F.max(F.element_at("postings", -1)["line_id"]).alias("last_id"),
@@ -456,10 +457,10 @@ def postings_gaps_decode(spark, sf):
 
 
 def _stored_index(spark, lines):
-    """Posting blocks of an index in the store, of which a lookup reads the terms it needs."""
+    """An index in the store, of which a lookup reads the terms it needs."""
     path = fresh_path(spark, "index")
-    sinks.write_index(index.posting_blocks(lines), path)
-    return sinks.read_index(spark, path)[0]
+    indexes.write_index(index.posting_blocks(lines), path)
+    return indexes.read_index(spark, path)
 
 
 @query

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quern.operators.index import dictionary
 
 
 def write_text_table(rows: DataFrame, path: str, delimiter: str = "\t") -> None:
@@ -35,25 +34,3 @@ def read_models(spark: SparkSession, path: str, model_ids: Sequence[int] | None
     """The stored models, or those named: the others' folders are not read."""
     models = spark.read.parquet(path)
     return models if model_ids is None else models.where(F.col("model_id").isin(list(model_ids)))
-
-
-def write_index(blocks: DataFrame, path: str, parts: int | None = None) -> None:
-    """Posting blocks and dictionary, by hash of the term and sorted by term in each part.
-
-    The sorted files let a lookup skip row groups by the term's range. Blocks of one
-    term go to parts by (term, block), so a very frequent term does not fill one file.
-    """
-    spark = blocks.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks.repartition(parts, "term", "block").sortWithinPartitions("term", "block").write.mode(
-        "overwrite"
-    ).parquet(f"{path}/postings")
-    stored = spark.read.parquet(f"{path}/postings")
-    dictionary(stored).repartition(parts, "term").sortWithinPartitions("term").write.mode(
-        "overwrite"
-    ).parquet(f"{path}/dictionary")
-
-
-def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """``(posting blocks, dictionary)``."""
-    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/dictionary")

@@ -1,13 +1,14 @@
 """Inverted index, gap coding, stored index and Boolean retrieval."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import index, retrieval
 from quern.plans.scratch import stored
-from quern.sources import sinks
+from quern.sources import index_store
 
 LINES = {
     3: "the cat the dog", 7: "a dog", 20: "the end of the line", 25: "", 41: "cat and dog and the",
@@ -53,13 +54,20 @@ def test_gaps(blocks):
 
 
 def test_stored_index(spark, blocks, tmp_path):
-    sinks.write_index(blocks, str(tmp_path), parts=3)
-    again, dictionary = sinks.read_index(spark, str(tmp_path))
-    assert listing(index.flat(again)) == expected()
-    assert dictionary.where("term = 'the'").first().df == 3
-    found = retrieval.postings_lookup(again, ["cat", "nowhere"])
-    assert listing(found) == {e for e in expected() if e[0] == "cat"}
-    found.explain()
+    path = str(tmp_path)
+    for per_slice in (2_000_000, 1):
+        index_store.write_index(blocks, path, parts=3, postings_per_slice=per_slice)
+        again = index_store.read_index(spark, path)
+        assert listing(index.flat(again.blocks)) == expected()
+        assert again.dictionary.where("term = 'the'").first().asDict() == {
+            "term": "the", "df": 3, "slices": 1 if per_slice > 1 else 3,
+        }
+        for terms in (["cat", "nowhere"], ["the", "cat"], []):
+            found = retrieval.postings_lookup(again, terms)
+            assert listing(found) == {e for e in expected() if e[0] in terms}
+    # A session that does not know the table opens it from its layout.
+    spark.sql(f"DROP TABLE {index_store._name(path + '/postings')}")
+    assert listing(index.flat(index_store.read_index(spark, path).blocks)) == expected()
 
 
 QUERIES = {
@@ -74,6 +82,23 @@ def test_boolean_queries(spark, blocks):
     for row in got.collect():
         hits.setdefault(row.query_id, set()).add(row.line_id)
     assert hits == {"and": {3, 41}, "or": {3, 20, 41}, "nest": {3, 41}, "one": {3, 7, 41}}
+    by_range = retrieval.boolean_retrieval(spark, blocks, QUERIES, block_literals=1)
+    assert sorted(map(tuple, by_range.collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_a_rare_term_decides_which_blocks_are_read(spark, tmp_path):
+    texts = [(i, "the of" + (" rare" if i % 500 == 7 else "") + (" odd" if i == 9 else "")) for i in range(2000)]
+    lines = spark.createDataFrame(texts, "line_id bigint, line string")
+    index_store.write_index(index.posting_blocks(lines, block=10), str(tmp_path))
+    found = index_store.read_index(spark, str(tmp_path))
+    for text, blocks, hits in (("the of AND rare AND", 4, 4), ("rare odd OR the AND", 4, 5), ("the of AND", 200, 2000)):
+        asked = retrieval.Queries({"q": text})
+        assert retrieval.candidate_blocks(spark, found, asked).count() == blocks
+        rows = retrieval.candidate_postings(spark, found, asked)
+        per_block = {"the of AND rare AND": 3, "the of AND": 2}
+        if text in per_block:
+            assert rows.count() == blocks * per_block[text]
+        assert retrieval.boolean_retrieval(spark, found, {"q": text}).count() == hits
 
 
 def test_many_terms_need_several_masks(spark):
@@ -106,9 +131,18 @@ def test_postings_take_one_shuffle(lines):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_lookup_reads_only_the_terms_of_a_stored_index(spark, blocks, tmp_path):
-    sinks.write_index(blocks, str(tmp_path / "index"))
-    found = retrieval.postings_lookup(sinks.read_index(spark, str(tmp_path / "index"))[0], ["dog", "zebra"])
+def test_lookup_opens_only_the_buckets_of_its_terms(spark, blocks, tmp_path):
+    index_store.write_index(blocks, str(tmp_path / "index"), parts=16)
+    found = retrieval.postings_lookup(index_store.read_index(spark, str(tmp_path / "index")), ["dog", "zebra"])
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "In(term, [dog,zebra])" in plan.split("PushedFilters")[1]
+    assert "In(place, [dog 0,zebra 0])" in plan
+    # Buckets are pruned whether or not a scan keeps them apart; the plan says so only if it does.
+    automatic = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    spark.conf.set(automatic, "false")
+    try:
+        apart = retrieval.postings_lookup(index_store.read_index(spark, str(tmp_path / "index")), ["dog", "zebra"])
+        plan = apart._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(automatic)
+    assert re.search("SelectedBucketsCount: [12] out of 16", plan)
     assert listing(found) == {("dog", 3, 1), ("dog", 7, 1), ("dog", 41, 1)}
