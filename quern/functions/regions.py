@@ -1,4 +1,4 @@
-"""Points to named boxes."""
+"""Points to named boxes: a few boxes as literals, any number of them as a table."""
 
 from __future__ import annotations
 

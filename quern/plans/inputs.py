@@ -114,6 +114,21 @@ def cyclic_edges(spark: SparkSession, folder: str) -> DataFrame:
 BOXES = (Box("west", 10, 40, 5, 50), Box("east", 80, 120, 20, 90))
 
 
+def part_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    """A box per part, of very different sizes, the first ones in the order of the keys."""
+    key = F.col("p_partkey")
+    x0, y0 = (key * 37 % 1000).cast("double"), (key * 91 % 500).cast("double")
+    wide = F.when(key % 100 == 0, 300.0).otherwise(F.col("p_size") / F.lit(8.0))
+    return table(spark, folder, "part").select(
+        key.alias("place"),
+        F.concat(F.lit("box "), key).alias("name"),
+        x0.alias("x0"),
+        (x0 + wide).alias("x1"),
+        y0.alias("y0"),
+        (y0 + wide / 2).alias("y1"),
+    )
+
+
 def event_point() -> tuple[Column, Column]:
     """Coordinates of an event: which column is which depends on the kind of event."""
     click = F.col("event_type") == "click"

@@ -251,6 +251,13 @@ FROM lineitem GROUP BY 1""",
         "first_k_distinct_tokens": f"WITH {CUT} SELECT line_id, token FROM bags",
         "region_assign": f"""WITH {LOCATED} SELECT event_id, event_type, region
 FROM located WHERE region IS NOT NULL""",
+        "region_join": f"""WITH {LOCATED}, boxes AS (
+  SELECT p_partkey AS place, 'box ' || p_partkey AS name, (p_partkey * 37 % 1000)::DOUBLE AS x0,
+    (p_partkey * 91 % 500)::DOUBLE AS y0,
+    CASE WHEN p_partkey % 100 = 0 THEN 300 ELSE p_size / 8.0::DOUBLE END::DOUBLE AS wide FROM part)
+SELECT event_id, event_type, arg_min(name, place) AS region
+FROM points JOIN boxes ON x > x0 AND x < x0 + wide AND y > y0 AND y < y0 + wide / 2
+GROUP BY event_id, event_type""",
         "orders_by_shipdate": f"""SELECT o_orderpriority AS clerk, o_orderkey
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE {SHIPPED}
 ORDER BY o_orderkey, clerk LIMIT 20""",

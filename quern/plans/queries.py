@@ -24,6 +24,7 @@ from quern.operators import (
     retrieval,
     windows,
 )
+from quern.operators import region_join as region_joins
 from quern.plans.inputs import (
     BOXES,
     cyclic_edges,
@@ -31,6 +32,7 @@ from quern.plans.inputs import (
     event_point,
     formula_models,
     instances,
+    part_boxes,
     table,
     text_lines,
     trade_edges,
@@ -272,6 +274,12 @@ def region_assign(spark, sf):
     return _located(table(spark, sf, "events")).select("event_id", "event_type", "region")
 
 
+@query
+def region_join(spark, sf):
+    found = region_joins.region_join(table(spark, sf, "events"), *event_point(), part_boxes(spark, sf))
+    return found.select("event_id", "event_type", "region")
+
+
 # Joins and reports
 
 
