@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.plans.scratch import stored
-from quern.plans.skew import ROWS_PER_SLICE, hot_keys, sliced_join, with_slice
+from quern.plans.skew import ROWS_PER_SLICE, hot_keys, per_slice, sliced_join, with_slice
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def graph_nodes(
     """``(node_id, slice, out_degree, neighbours, ranks)``, one row per node.
 
     ``ranks`` is the start rank for each source: 1 on the source itself, else 0. A node
-    with more than ``neighbours_per_row`` out-edges is stored in several slices.
+    with more than ``neighbours_per_row`` out-edges is stored in several slices, from 0 on.
     """
     degrees = stored(out_degrees(edges).withColumnRenamed("src", "node_id"), "degrees")
     hot = hot_keys(degrees, "node_id", "out_degree", neighbours_per_row)
@@ -36,11 +36,11 @@ def graph_nodes(
         *[F.when(F.col("node_id") == s, 1.0).otherwise(0.0) for s in sources]
     )
     return (
-        nodes.join(degrees, "node_id", "left")
-        .join(adjacency, "node_id", "left")
+        per_slice(nodes.join(degrees, "node_id", "left"), "node_id", hot)
+        .join(adjacency, ["node_id", "slice"], "left")
         .select(
             "node_id",
-            F.coalesce("slice", F.lit(0)).alias("slice"),
+            "slice",
             F.coalesce("out_degree", F.lit(0).cast("bigint")).alias("out_degree"),
             F.coalesce("neighbours", F.array().cast("array<bigint>")).alias("neighbours"),
             ranks.alias("ranks"),
@@ -60,17 +60,20 @@ def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def graph_partition(nodes: DataFrame, parts: int) -> DataFrame:
-    """The node records laid out in ``parts`` partitions by node id modulo ``parts``."""
-    return nodes.repartitionById(parts, F.pmod("node_id", F.lit(parts)).cast("int"))
+def graph_partition(records: DataFrame, parts: int, by: str = "id") -> DataFrame:
+    """Node records as they are, with whatever columns they have, laid out in ``parts`` partitions:
+    by node id modulo ``parts``, or, with ``by="range"``, in ranges of node ids."""
+    if by == "range":
+        return records.repartitionByRange(parts, "node_id")
+    return records.repartitionById(parts, F.pmod("node_id", F.lit(parts)).cast("int"))
 
 
 def partition_report(partitioned: DataFrame) -> DataFrame:
-    """``(part, num_nodes)`` as the rows actually lie."""
+    """``(part, num_nodes, num_edges)`` of records of ``graph_nodes``, as the rows actually lie."""
     return (
-        partitioned.select(F.spark_partition_id().alias("part"))
+        partitioned.select(F.spark_partition_id().alias("part"), "slice", F.size("neighbours").alias("edges"))
         .groupBy("part")
-        .agg(F.count("*").alias("num_nodes"))
+        .agg(F.count_if(F.col("slice") == 0).alias("num_nodes"), F.sum("edges").alias("num_edges"))
     )
 
 

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -123,9 +123,13 @@ def personalized_pagerank(
     jump: float = JUMP,
     state: str | None = None,
     start: int = 0,
+    counters: list[dict] | None = None,
 ) -> DataFrame:
     """``(source, node_id, rank)`` after ``iterations`` iterations.
 
+    ``counters`` gets the rank rows and the total rank of every iteration run, observed while it
+    is written.
+
     ``state`` is a folder shared by the cluster with one table per iteration. With
     ``start`` > 0 the run goes on from that iteration's table.
     """
@@ -137,7 +141,11 @@ def personalized_pagerank(
     for done in range(start, iterations):
         ranks = read_ranks(spark, state, done)
         after = ppr_iteration(links, ranks, jump)
+        seen = Observation()
+        after = after.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum("rank").alias("rank"))
         after.write.mode("overwrite").parquet(iteration_path(state, done + 1))
+        if counters is not None:
+            counters.append({"iteration": done + 1, **seen.get})
     links.release()
     return read_ranks(spark, state, iterations)
 

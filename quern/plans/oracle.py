@@ -345,8 +345,10 @@ FROM nodes LEFT JOIN adjacency ON node_id = src""",
         "graph_stats": f"""WITH {NODES}, {TRADE}
 SELECT (SELECT count(*) FROM nodes) AS num_nodes, (SELECT count(*) FROM links) AS num_edges,
   (SELECT count(DISTINCT src) FROM links) AS num_active_nodes""",
-        "graph_partition": f"""WITH {NODES} SELECT (node_id % 7)::INT AS part,
-  count(*) AS num_nodes FROM nodes GROUP BY 1""",
+        "graph_partition": f"""WITH {NODES}, {TRADE_REPEATED},
+degrees AS (SELECT src, count(*) AS degree FROM links GROUP BY src)
+SELECT (node_id % 7)::INT AS part, count(*) AS num_nodes, coalesce(sum(degree), 0)::BIGINT AS num_edges
+FROM nodes LEFT JOIN degrees ON src = node_id GROUP BY 1""",
         "graph_duplicate_nodes": f"""WITH {NODES},
 doubled AS (SELECT node_id FROM nodes UNION ALL SELECT l_partkey FROM lineitem)
 SELECT node_id, count(*) AS records FROM doubled GROUP BY node_id HAVING count(*) > 1""",
@@ -357,6 +359,7 @@ SELECT source, round(missing, 8) + 0.0 AS missing FROM m2""",
         "personalized_pagerank": _ranks(NODES, TRADE),
         "personalized_pagerank_cyclic": _ranks(NODES_CYCLIC, CYCLIC),
         "personalized_pagerank_unknown_nodes": _ranks(NODES_MISSING, TRADE_REPEATED),
+        "personalized_pagerank_records": _ranks(NODES_MISSING, TRADE_REPEATED),
         "personalized_pagerank_resumed": _ranks(NODES, TRADE),
         "ppr_topk": f"""WITH {_iterations(NODES, TRADE, 3)}, placed AS (
   SELECT source, node_id, rank, row_number() OVER (

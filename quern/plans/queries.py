@@ -20,6 +20,7 @@ from quern.operators import (
     graph,
     index,
     pagerank,
+    records,
     reports,
     retrieval,
     windows,
@@ -518,7 +519,8 @@ def graph_stats(spark, sf):
 
 @query
 def graph_partition(spark, sf):
-    return graph.partition_report(graph.graph_partition(trade_nodes(spark, sf), 7))
+    whole = graph.graph_nodes(trade_nodes(spark, sf), trade_edges(spark, sf, repeated=True), SOURCES)
+    return graph.partition_report(graph.graph_partition(whole, 7))
 
 
 @query
@@ -583,6 +585,13 @@ def personalized_pagerank_resumed(spark, sf):
     return _rounded(ranks, "rank", 8)
 
 
+@query
+def personalized_pagerank_records(spark, sf):
+    nodes, edges = trade_nodes(spark, sf, small_parts=False), trade_edges(spark, sf, repeated=True)
+    laid = records.store_records(graph.graph_nodes(nodes, edges, SOURCES), SOURCES)
+    return _rounded(records.flat_ranks(records.iterate(laid, ITERATIONS)), "rank", 8)
+
+
 @query
 def ppr_topk(spark, sf):
     # Ten digits of a rank do not depend on the order of summing.

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -155,8 +155,13 @@ def write_rows(rows: DataFrame, path: str, checkpoint: str):
     )
 
 
-def drain(spark: SparkSession, writer) -> None:
-    """Process everything that is there, then stop.
+def counted(rows: DataFrame, name: str, **sums: Column) -> DataFrame:
+    """``rows`` of a stream with counters that every micro-batch reports, see ``drain``."""
+    return rows.observe(name, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in sums.items()])
+
+
+def drain(spark: SparkSession, writer) -> list[dict]:
+    """Process everything that is there, then stop. Returns the counters of each micro-batch.
 
     State is kept in no more partitions than there are cores, so that a micro-batch,
     however small, is one wave of tasks. A restarted stream keeps its first number.
@@ -171,6 +176,10 @@ def drain(spark: SparkSession, writer) -> None:
         for name, value in before.items():
             spark.conf.set(name, value)
     running.awaitTermination()
+    return [
+        {name: row.asDict() for name, row in progress.observedMetrics.items()}
+        for progress in running.recentProgress
+    ]
 
 
 def drained(spark: SparkSession, stream: DataFrame, path: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Graph checks and personalized PageRank against a plain loop."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from quern.operators import graph, pagerank
+from quern.operators import graph, pagerank, records
 from quern.plans.scratch import stored
 from quern.sources.graphs import adjacency_edges, adjacency_nodes, scan_adjacency
 
@@ -53,18 +54,63 @@ def test_checks(tiny):
 
 
 def test_records(tiny):
-    records = {r.node_id: r for r in graph.graph_nodes(*tiny, [1, 4]).collect()}
-    assert records[1].neighbours == [2, 2, 4] and records[1].out_degree == 3
-    assert records[4].neighbours == [] and records[4].out_degree == 0
-    assert records[4].ranks == [0.0, 1.0]
+    rows = {r.node_id: r for r in graph.graph_nodes(*tiny, [1, 4]).collect()}
+    assert rows[1].neighbours == [2, 2, 4] and rows[1].out_degree == 3
+    assert rows[4].neighbours == [] and rows[4].out_degree == 0
+    assert rows[4].ranks == [0.0, 1.0]
 
 
 def test_partition(spark):
     nodes = spark.range(100).withColumnRenamed("id", "node_id")
-    laid = graph.graph_partition(nodes, 7)
-    assert laid.rdd.getNumPartitions() == 7
-    report = {r.part: r.num_nodes for r in graph.partition_report(laid).collect()}
-    assert report == {p: len(range(p, 100, 7)) for p in range(7)}
+    edges = nodes.select(F.col("node_id").alias("src"), (F.col("node_id") + 1).alias("dst")).where("src % 4 = 0")
+    whole = graph.graph_nodes(nodes, edges, [3])
+    for by in ("id", "range"):
+        laid = graph.graph_partition(whole, 7, by)
+        assert laid.rdd.getNumPartitions() == 7 and laid.columns == whole.columns
+        assert sorted(r.node_id for r in laid.collect()) == list(range(100))
+        report = {r.part: (r.num_nodes, r.num_edges) for r in graph.partition_report(laid).collect()}
+        if by == "id":
+            assert report == {p: (len(range(p, 100, 7)), sum(i % 4 == 0 for i in range(p, 100, 7))) for p in range(7)}
+        parts = laid.select(F.spark_partition_id().alias("p"), "node_id").groupBy("p").agg(F.max("node_id"), F.min("node_id"))
+        if by == "range":
+            ends = sorted(map(tuple, parts.collect()))
+            assert all(x[1] < y[2] for x, y in zip(ends, ends[1:], strict=False))
+
+
+@pytest.mark.parametrize(("steps", "per_row"), [(1, 2_000_000), (5, 2_000_000), (3, 1)])
+def test_pagerank_on_stored_records(tiny, steps, per_row):
+    whole = graph.graph_nodes(*tiny, [1, 4], neighbours_per_row=per_row)
+    laid = records.iterate(records.store_records(whole, [1, 4]), steps)
+    got, expected = found(records.flat_ranks(laid)), plain([1, 4], steps)
+    assert got.keys() == expected.keys()
+    assert all(abs(got[k] - expected[k]) < 1e-12 for k in expected)
+    assert len(laid.counters) == steps
+    last = laid.counters[-1]
+    assert abs(last["mass_1"] + last["lost_1"] - 1) < 1e-12 and last["nodes"] >= 1
+
+
+def test_a_step_on_records_moves_one_thing(spark, tiny):
+    def exchanges(rows):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning")
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        laid = records.store_records(graph.graph_nodes(*tiny, [1, 4]), [1, 4])
+        links = pagerank.prepare_links(*tiny)
+        on_records, on_links = records.records_step(laid), pagerank.ppr_step(links, pagerank.initial_ranks(tiny[0], [1, 4]))
+        assert exchanges(on_records) == 1 < exchanges(on_links)
+        links.release()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_counters_of_iterations(tiny):
+    counters = []
+    ranks = pagerank.personalized_pagerank(*tiny, [1, 4], 3, counters=counters)
+    assert [c["iteration"] for c in counters] == [1, 2, 3]
+    assert counters[-1]["rows"] == ranks.count() and abs(counters[-1]["rank"] - 2) < 1e-12
 
 
 @pytest.mark.parametrize("steps", [1, 2, 5])

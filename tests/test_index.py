@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import index, retrieval
 from quern.plans.scratch import stored
-from quern.sources import index_store
+from quern.sources import bucketed, index_store
 
 LINES = {
     3: "the cat the dog", 7: "a dog", 20: "the end of the line", 25: "", 41: "cat and dog and the",
@@ -66,7 +66,7 @@ def test_stored_index(spark, blocks, tmp_path):
             found = retrieval.postings_lookup(again, terms)
             assert listing(found) == {e for e in expected() if e[0] in terms}
     # A session that does not know the table opens it from its layout.
-    spark.sql(f"DROP TABLE {index_store._name(path + '/postings')}")
+    spark.sql(f"DROP TABLE {bucketed.table_name(path + '/postings')}")
     assert listing(index.flat(index_store.read_index(spark, path).blocks)) == expected()
 
 

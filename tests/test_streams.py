@@ -191,8 +191,11 @@ def test_replay_takes_part_files_only(spark, tmp_path):
     (tmp_path / "in" / "part-00002").write_text("z\n")
     (tmp_path / "in" / "other").write_text("no\n")
     stream = replay.stream_files(spark, str(tmp_path / "in"), "value string", "text")
-    rows = streams.drained(spark, stream, str(tmp_path / "out"))
-    assert sorted(r.value for r in rows.collect()) == ["x", "y", "z"]
+    seen = streams.counted(stream, "lines", longest=F.max(F.length("value")))
+    out = str(tmp_path / "out")
+    counters = streams.drain(spark, streams.write_rows(seen, out, str(tmp_path / "check")))
+    assert sorted(r.value for r in spark.read.parquet(out).collect()) == ["x", "y", "z"]
+    assert sum(c["lines"]["rows"] for c in counters if "lines" in c) == 3
 
 
 def test_sliding_windows(spark):
