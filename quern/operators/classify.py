@@ -6,6 +6,8 @@ repeats count; training sets add ``model_id``. Models are ``(model_id, feature,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -177,10 +179,12 @@ def shuffle_trials(
     seeds: list[int],
     rate: float = RATE,
     most_instances: int = MOST_INSTANCES,
+    settle: Callable[[DataFrame], DataFrame] = lambda scored: scored,
 ) -> DataFrame:
     """``(model_id, one_minus_roca)``: one training and evaluation per seed, all at once.
 
-    Each seed trains on its own first ``most_instances``, see ``train_sgd``.
+    Each seed trains on its own first ``most_instances``, see ``train_sgd``. ``settle`` may round
+    the scores, so that sums in another order tie alike.
     """
     from quern.operators.evaluate import one_minus_roca
 
@@ -190,4 +194,5 @@ def shuffle_trials(
         "label",
         "features",
     ).withColumn("order_key", order_key(F.col("model_id")))
-    return one_minus_roca(score_documents(test, stored(train_sgd(seeded, rate, most_instances), "models")))
+    models = stored(train_sgd(seeded, rate, most_instances), "models")
+    return one_minus_roca(settle(score_documents(test, models)))

@@ -380,6 +380,15 @@ FROM documents JOIN labels USING (doc_id)""",
     SELECT doc_id, model_id, sum(weight) AS score
     FROM occurrences JOIN trained USING (feature) GROUP BY ALL) s
   ON s.doc_id = i.doc_id AND s.model_id = seed), {ROC}""",
+        "ensemble_stored": f"""WITH RECURSIVE {INSTANCES}, {_trained(
+            "SELECT (doc_id % 3)::INT AS model_id, md5('1:' || doc_id) AS order_key, * FROM inst"
+        )}, scored AS (SELECT i.doc_id, i.label, m.model_id, round(coalesce(s.score, 0), 10) AS score
+  FROM inst i CROSS JOIN (VALUES (0), (2)) AS m(model_id) LEFT JOIN (
+    SELECT doc_id, model_id, sum(weight) AS score
+    FROM occurrences JOIN trained USING (feature) GROUP BY ALL) s
+  ON s.doc_id = i.doc_id AND s.model_id = m.model_id),
+e AS (SELECT doc_id, label, round(avg(score), 10) AS score FROM scored GROUP BY ALL)
+SELECT doc_id, label, round(score, 6) + 0.0 AS score, {ANSWER} FROM e""",
         "train_batch": f"""WITH {INSTANCES},
 s1 AS (SELECT feature, sum((label - 0.5::DOUBLE) * 0.002::DOUBLE) AS weight
   FROM occurrences GROUP BY feature),

@@ -668,7 +668,20 @@ def one_minus_roca(spark, sf):
 @query
 def shuffle_trials(spark, sf):
     rows = instances(spark, sf)
-    return _rounded(classify.shuffle_trials(rows, rows, list(range(1, 11))), "one_minus_roca")
+    trials = classify.shuffle_trials(rows, rows, list(range(1, 11)), settle=_settled)
+    return _rounded(trials, "one_minus_roca")
+
+
+@query
+def ensemble_stored(spark, sf):
+    """Models trained, stored, and read back as the members of an ensemble."""
+    path = fresh_path(spark, "models")
+    training = _training_sets(spark, sf)
+    sinks.write_models(classify.train_sgd(training), path)
+    sets = stored(training.groupBy("model_id").agg(F.count("*").alias("documents")), "sets")
+    models = sinks.read_ensemble(spark, path, sets.where("model_id <> 1"))
+    scored = _settled(classify.score_documents(instances(spark, sf), models))
+    return _rounded(_settled(classify.ensemble_average(scored)), "score")
 
 
 # Streams

@@ -34,3 +34,12 @@ def read_models(spark: SparkSession, path: str, model_ids: Sequence[int] | None
     """The stored models, or those named: the others' folders are not read."""
     models = spark.read.parquet(path)
     return models if model_ids is None else models.where(F.col("model_id").isin(list(model_ids)))
+
+
+def read_ensemble(spark: SparkSession, path: str, members: DataFrame) -> DataFrame:
+    """The stored models that a table of members names by ``model_id``.
+
+    The members are looked up while the query runs: the folders of other models are pruned then
+    and not read, however the members were chosen.
+    """
+    return spark.read.parquet(path).join(F.broadcast(members.select("model_id")), "model_id", "left_semi")

@@ -116,6 +116,18 @@ def test_model_store(spark, models, tmp_path):
     assert sinks.read_models(spark, path, [2]).count() == 2
 
 
+def test_members_of_an_ensemble_prune_the_store_at_run_time(spark, training, tmp_path):
+    path = str(tmp_path / "models")
+    models = spark.createDataFrame(MODELS, "model_id int, feature int, weight double")
+    sinks.write_models(models, path)
+    spark.createDataFrame([(1, 0.2), (2, 0.9)], "model_id int, area double").write.parquet(str(tmp_path / "areas"))
+    members = spark.read.parquet(str(tmp_path / "areas")).where("area < 0.5")
+    chosen = sinks.read_ensemble(spark, path, members)
+    assert "dynamicpruning" in chosen._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(tuple, chosen.select("model_id", "feature", "weight").collect()))
+    assert got == sorted(m for m in MODELS if m[0] == 1) and got
+
+
 @pytest.mark.parametrize("points_per_part", [1, 3, 11, 1000])
 def test_area_with_ties(spark, points_per_part):
     rng = random.Random(11)
