@@ -3,8 +3,9 @@
 Only DataFrame functions are used. Lines are parted into passages, runs of lines of one quote
 level without blank lines between. A quoted passage is normalised (lower case, blanks as one,
 quote marks gone) and hashed; it is joined to the first message of its conversation that wrote
-it unquoted, as a line, a passage or a whole text. A message replies to the message from which
-it quotes most, the later one of equals.
+it unquoted, as a line, a passage or a whole text. A message replies to the author of its least
+quoted level that is found, since deeper levels came along with that author's text: of several
+to the one with most passages and lines of that level, then of all levels, then the later one.
 
 A passage or an opening that very many messages share is one row per conversation after the
 first place of each hash has been taken, so no pair of messages is formed.
@@ -66,6 +67,14 @@ def _hashes(texts: Column) -> Column:
     return F.array_distinct(F.transform(kept, lambda x: F.sha2(x, 256)))
 
 
+def _levelled(parts: Column, text: str) -> Column:
+    """Different (level, hash) of the normalised, non-empty quoted texts of an array of structs."""
+    kept = F.filter(parts, lambda x: (x["level"] > 0) & (normalised(x[text]) != ""))
+    return F.array_distinct(
+        F.transform(kept, lambda x: F.struct(x["level"].alias("level"), F.sha2(normalised(x[text]), 256).alias("hash")))
+    )
+
+
 def link_quotations(
     messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text"
 ) -> DataFrame:
@@ -85,7 +94,6 @@ def link_quotations(
         F.col("row")[text_col].alias("body"),
     )
     parsed = passages(rows, "body")
-    quoting = F.exists("blocks", lambda b: b["level"] > 0)
     announces = lambda x, i: (
         (x["level"] == 0)
         & F.rlike(F.trim(x["line"]), F.lit(ATTRIBUTION))
@@ -98,15 +106,15 @@ def link_quotations(
     parsed = parsed.select(
         "row", "conv", "turn", "lines", "blocks", "own",
         F.coalesce(F.array_max(F.transform("blocks", lambda b: b["level"])), F.lit(0)).alias("levels"),
-        _hashes(F.transform(F.filter("blocks", lambda b: b["level"] > 0), lambda b: b["text"])).alias("quoted"),
-        F.when(quoting, _hashes(F.transform(F.filter("lines", lambda x: x["level"] > 0), lambda x: x["line"])))
-        .otherwise(F.array().cast("array<string>")).alias("quoted_lines"),
+        _levelled(F.col("blocks"), "text").alias("quoted"),
+        _levelled(F.col("lines"), "line").alias("quoted_lines"),
     )
     keyed = parsed.where("conv is not null and turn is not null")
     quotes = stored(
         keyed.where(F.size("quoted") > 0)
-        .select("conv", "turn", F.explode(F.array_union("quoted", "quoted_lines")).alias("hash"))
-        .distinct(),
+        .select("conv", "turn", F.inline(F.array_union("quoted", "quoted_lines")))
+        .groupBy("conv", "turn", "hash")
+        .agg(F.min("level").alias("level")),
         "quotes",
     )
     whole = F.array(F.col("own"))
@@ -120,12 +128,14 @@ def link_quotations(
         .agg(F.min("turn").alias("first"))
     )
     links = stored(
-        quotes.join(originals, ["conv", "hash"]).where("first < turn").select("conv", "turn", "hash", "first"), "links"
+        quotes.join(originals, ["conv", "hash"]).where("first < turn").select("conv", "turn", "level", "first"), "links"
     )
-    by_parent = links.groupBy("conv", "turn", "first").agg(F.count("*").alias("n"))
-    parents = by_parent.groupBy("conv", "turn").agg(
-        F.max_by("first", F.struct("n", "first")).alias("parent"), F.sum("n").alias("n_linked")
+    by_level = links.groupBy("conv", "turn", "first", "level").agg(F.count("*").alias("n"))
+    by_parent = by_level.groupBy("conv", "turn", "first").agg(
+        F.min("level").alias("least"), F.min_by("n", "level").alias("n_least"), F.sum("n").alias("n")
     )
+    best = F.struct(-F.col("least"), "n_least", "n", "first")
+    parents = by_parent.groupBy("conv", "turn").agg(F.max_by("first", best).alias("parent"), F.sum("n").alias("n_linked"))
     jumps = stored(parents.select("conv", "turn", "n_linked", "parent", F.col("parent").alias("root"), F.lit(1).alias("depth")), "jumps")
     moving = not jumps.isEmpty()
     while moving:  # doubles the distance looked back in every round
@@ -143,7 +153,7 @@ def link_quotations(
         moving = not after.where("moved").isEmpty()
         jumps = after.drop("moved")
     found = parsed.join(jumps, ["conv", "turn"], "left")
-    n_quoted = F.size("quoted").cast("long")
+    n_quoted = F.size(F.array_distinct(F.transform("quoted", lambda x: x["hash"]))).cast("long")
     return found.select(
         "row",
         F.struct(
