@@ -22,6 +22,7 @@ import html
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field as part
 from hashlib import blake2b
@@ -48,6 +49,11 @@ BOILERPLATE_CLASS = frozenset(
     "newsletter notice notices notification overlay pagination popup promo promoted related replies respond "
     "search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar widget".split()
 )
+# Class words that tell even in an article, on whatever element; the others need a container there.
+ALWAYS_CLASS = frozenset("ad ads advert adverts advertisement advertising comment comments disqus respond replies sponsored".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote caption figcaption".split()) | INLINE
+# Elements nested deeper lie flat in their ancestor of that depth, as in browsers.
+DEEPEST = 128
 CLOSED_BY = {
     "p": frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 pre blockquote section article form hr aside nav header footer main figure address details fieldset".split()),
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -104,10 +110,18 @@ def _names(attributes: str) -> tuple[str, frozenset[str]]:
 
 
 def read(page: str | None) -> Node:
-    """The tree of a page. Unclosed elements end where their parent or a follower ends them."""
+    """The tree of a page. Unclosed elements end where their parent or a follower ends them; what is
+    nested more than ``DEEPEST`` deep follows one another in the element of that depth."""
     root = Node("#root")
-    open_ = [root]
+    open_ = [root]  # elements that take children
+    tags = ["#root"]  # of all open elements, those too deep included
+    counts = Counter(tags)
     page, at = page or "", 0
+
+    def close(depth: int) -> None:
+        counts.subtract(tags[depth:])
+        del tags[depth:], open_[depth:]
+
     while at < len(page):
         m = _TOKEN.match(page, at)
         at = m.end() if m else at + 1
@@ -120,18 +134,16 @@ def read(page: str | None) -> Node:
             open_[-1].children.append(html.escape(m[0][9:].removesuffix("]]>")))
         elif tag and closing:
             tag = tag.lower()
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth].tag == tag:
-                    del open_[depth:]
-                    break
+            if counts[tag] > 0:
+                close(next(d for d in range(len(tags) - 1, 0, -1) if tags[d] == tag))
         elif tag:
             tag = tag.lower()
             if tag not in INLINE:
-                for depth in range(len(open_) - 1, 0, -1):
-                    if tag in CLOSED_BY.get(open_[depth].tag, ()):
-                        del open_[depth:]
+                for depth in range(len(tags) - 1, max(0, len(tags) - 1 - DEEPEST), -1):
+                    if tag in CLOSED_BY.get(tags[depth], ()):
+                        close(depth)
                         break
-                    if open_[depth].tag not in INLINE and open_[depth].tag not in CLOSED_BY:
+                    if tags[depth] not in INLINE and tags[depth] not in CLOSED_BY:
                         break
             node = Node(tag, *_names(attributes)) if attributes else Node(tag)
             open_[-1].children.append(node)
@@ -139,7 +151,10 @@ def read(page: str | None) -> Node:
                 end = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at)
                 at = end.end()
             elif tag not in VOID and not attributes.rstrip().endswith("/"):
-                open_.append(node)
+                tags.append(tag)
+                counts[tag] += 1
+                if len(open_) < DEEPEST:
+                    open_.append(node)
     return root
 
 
@@ -297,10 +312,15 @@ def _measure(node: Node) -> None:
         node.marked = node.chars
 
 
-def _left_out(node: Node, parent: Node, root: Node) -> bool:
-    """Whether a node is boilerplate; the one with the page's article or most of its text is not."""
+def _left_out(node: Node, parent: Node, root: Node, inside: bool) -> bool:
+    """Whether a node is boilerplate; the one with the page's article or most of its text is not.
+
+    ``inside`` an article a text element goes only by the class words of adverts and comments.
+    """
     if not node.boilerplate:
         return False
+    if inside and node.tag in TEXT_TAGS and ALWAYS_CLASS.isdisjoint(node.classes):
+        return False
     if node.tag == "header" and parent.tag in MAIN and BOILERPLATE_CLASS.isdisjoint(node.classes):
         return False
     if root.marked:
@@ -308,7 +328,10 @@ def _left_out(node: Node, parent: Node, root: Node) -> bool:
     return node.tag in ASIDE or 2 * node.chars <= root.chars
 
 
-def _walk(node: Node, slot: int, at: Part | None, root: Node, out: list[Block], above: list[Block] | None) -> None:
+def _walk(
+    node: Node, slot: int, at: Part | None, root: Node, out: list[Block], above: list[Block] | None, inside: bool = False
+) -> None:
+    inside = inside or node.tag in MAIN
     nodes = [c for c in node.children if isinstance(c, Node)]
     parts = iter(at.match(nodes) if at else [None] * len(nodes))
     labels: list[Block] = []
@@ -319,17 +342,17 @@ def _walk(node: Node, slot: int, at: Part | None, root: Node, out: list[Block],
         to = next(parts)
         if c.tag == "br":
             out[-1].pieces.append("\n")
-        elif not _left_out(c, node, root):
+        elif not _left_out(c, node, root, inside):
             # A node that the wrapper lacks is told by its label within its parent.
             own = to.slot if to else -1 - zlib.crc32(f"{slot}/{c.label}".encode())
             if c.tag in INLINE:
-                _walk(c, own, to, root, out, above)
+                _walk(c, own, to, root, out, above, inside)
             else:
                 under = labels if c.tag in LABELS and above is None else above
                 out.append(Block(own, under is not None))
                 if under is not None:
                     under.append(out[-1])
-                _walk(c, own, to, root, out, under)
+                _walk(c, own, to, root, out, under, inside)
                 out.append(Block(slot, above is not None))
                 if above is not None:
                     above.append(out[-1])
@@ -465,9 +488,12 @@ def _seen(html_col: str):
     return run
 
 
-def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", slice_shapes: int = 200) -> DataFrame:
-    """``host``, ``wrapper`` (see ``expression``), ``main``, the path of its main part, ``tree``, the
-    wrapper as nested lists, and ``template``, the slots and hashes of template text."""
+def infer_wrappers(
+    pages: DataFrame, url_col: str = "url", html_col: str = "html", slice_shapes: int = 200, described: bool = True
+) -> DataFrame:
+    """``host``, ``tree``, the wrapper as nested lists, and ``template``, the slots and hashes of
+    template text; if ``described`` also ``wrapper`` (see ``expression``) and ``main``, the path of its
+    main part."""
     rows = pages.select(host(url_col).alias("host"), F.struct(F.col(html_col).alias(html_col)).alias("row"))
     shapes = stored(rows.mapInArrow(_shapes(html_col), "host string, shape string").distinct(), "shapes")
     left = shapes.groupBy("host").count().agg(F.max("count")).first()[0] or 0
@@ -494,6 +520,9 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     parts = seen.where("text is null").select("host", "slot", F.col("n").alias("pages"), F.col("chars").alias("all"))
     template = seen.where("text is not null").join(parts.drop("all"), ["host", "slot"])
     template = stored(template.where(F.col("n") >= TEMPLATE_SHARE * F.col("pages")), "template")
+    texts = template.groupBy("host").agg(F.to_json(F.collect_list(F.array("slot", "text"))).alias("template"))
+    if not described:
+        return stored(trees.join(texts, "host", "left"), "wrappers")
     fixed = template.groupBy("host", "slot").agg(F.sum("chars").alias("fixed"))
     # Parts that the wrapper lacks have negative numbers.
     chars = (
@@ -502,7 +531,6 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         .groupBy("host")
         .agg(F.map_from_entries(F.collect_list(F.struct("slot", F.col("all") - F.coalesce("fixed", F.lit(0))))).alias("chars"))
     )
-    texts = template.groupBy("host").agg(F.to_json(F.collect_list(F.array("slot", "text"))).alias("template"))
     choose = F.udf(lambda tree, chars: _main(tree, chars), "string")
     render = F.udf(lambda s: expression(json.loads(s)), "string")
     known = trees.join(chars, "host", "left").join(texts, "host", "left")
@@ -537,7 +565,9 @@ def extract_main_text(
     Null and empty pages have an empty text; pages of null or strange addresses share the host
     of empty name. Repeated rows change nothing. Writes intermediate tables when called.
     """
-    wrappers = infer_wrappers(pages, url_col, html_col)
+    wrappers = infer_wrappers(pages, url_col, html_col, described=with_wrapper)
+    if not with_wrapper:
+        wrappers = wrappers.withColumn("wrapper", F.lit(None).cast("string"))
     rows = pages.select(F.struct("*").alias("row")).withColumn("host", host(F.col("row")[url_col]))
     return (
         rows.join(wrappers, "host", "left")

@@ -11,7 +11,7 @@ from quern.llm.decontaminate import decontaminate
 from quern.llm.mixture import mix_sources
 from quern.llm.near_vectors import near_duplicate_vectors
 from quern.llm.quotations import link_quotations
-from quern.llm.wrappers import expression, extract_main_text, infer_wrappers, main_text, merge, read, shape
+from quern.llm.wrappers import Part, expression, extract_main_text, infer_wrappers, main_text, merge, read, shape
 
 
 def test_decontamination(spark):
@@ -313,3 +313,61 @@ def test_quotations(spark):
     plan = link_quotations(table)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
     assert link_quotations(table.where("false")).count() == 0
+
+
+def test_reply_chains_of_nested_quotes(spark):
+    """Every message quotes the whole of the one it answers, with all it quoted, or its last part."""
+    rng = random.Random(12)
+    rows, wanted = [], {}
+    for conv in range(40):
+        texts, own = [], []
+        for turn in range(rng.randint(2, 9)):
+            new = [" ".join(rng.choice("lorem ipsum dolor sit amet".split()) for _ in range(6)) + f" {conv}.{turn}.{k}" for k in range(rng.randint(1, 4))]
+            parent = rng.randrange(turn) if turn and rng.random() < 0.85 else None
+            lines = []
+            if parent is not None:
+                head = [f"On day {turn}, somebody wrote:"] if rng.random() < 0.5 else []
+                quoted = texts[parent] if rng.random() < 0.7 else own[parent][-1:]
+                lines = head + [(">" if x.startswith(">") else "> ") + (x.upper() if rng.random() < 0.2 else x) for x in quoted] + [""]
+            own.append([x for n in new for x in (n, "")][:-1])
+            texts.append(lines + own[-1])
+            above = wanted.get((conv, parent))
+            wanted[conv, turn] = (parent, above[1] if above else turn, above[2] + 1 if above else 0, "\n".join(own[-1]))
+            rows.append((conv, turn, "\n".join(texts[-1])))
+    assert max(w[2] for w in wanted.values()) >= 4
+    rng.shuffle(rows)
+    out = link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    got = {(r["row"]["conv_id"], r["row"]["turn"]): r["out"] for r in out}
+    assert {k: (o["parent_turn"], o["root_turn"], o["depth"], o["own_text"]) for k, o in got.items()} == wanted
+
+
+def test_a_deep_quotation_does_not_hide_the_direct_parent(spark):
+    first = "one one one\n\ntwo two two\n\nthree three three"
+    second = "\n".join("> " + x for x in first.split("\n")) + "\n\nfour four four"
+    third = "\n".join(">" + x if x.startswith(">") else "> " + x for x in second.split("\n")) + "\n\nfive"
+    rows = spark.createDataFrame([(1, 0, first), (1, 1, second), (1, 2, third)], "conv_id long, turn long, text string")
+    got = {r["row"]["turn"]: r["out"] for r in link_quotations(rows).collect()}
+    assert (got[2]["parent_turn"], got[2]["root_turn"], got[2]["depth"]) == (1, 0, 2)
+    assert got[2]["n_quoted"] == 4 and got[2]["quote_levels"] == 2
+
+
+def test_pages_nested_very_deep():
+    depth = 100_000
+    for page in (
+        "<div>" * depth + "the text" + "</div>" * depth + " after",
+        "<article>" + "<b>" * depth + "the text" + "</i>" * depth + "<p>after",
+        "<ul><li>" * depth + "the text<p>after",
+    ):
+        assert main_text(page, None) == "the text after"
+        wrapper = merge(shape(read(page)), shape(read("<div><p>x</p></div>")))
+        assert expression(wrapper)
+        assert main_text(page, Part(wrapper, "", [])) == "the text after"
+
+
+def test_class_words_take_no_paragraph_from_an_article():
+    page = (
+        "<body><div class='search'><p>find</p></div><article><h1>Head</h1><p class='search'>How search works.</p>"
+        "<p class='links'>On links.</p><div class='share'>tweet</div><p class='advert'>buy</p><div class='comments'>"
+        "<p>nice</p></div><aside>by the way</aside><ul><li class='menu'>soup</li></ul></article></body>"
+    )
+    assert main_text(page, None) == "Head How search works. On links. soup"
