@@ -24,11 +24,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from quern.llm.anchors import segments
 from quern.llm.hashing import of_grams, signed, texts, words
-from quern.llm.tables import columns, field, keyed, merged, ranges, stored, table_schema
+from quern.llm.tables import columns, field, keyed, merged, portions, ranges, stored, table_schema
 
 OUT = columns(n_words="long", n_removed="long", kept_sha256="string", spans="ranges", kept="string")
 OUT_ARROW = to_arrow_type(OUT)
-SEEDS = "seed long, content long, key long, at long, windows int"
+SEEDS = "seed long, content long, key long, at int, windows int"
 WINDOWS = "seed long, content long, window long, place int"
 
 
@@ -45,7 +45,7 @@ def _seeds(text_col: str, length: int, gram: int):
                         pa.array(signed(s.anchor)),
                         pa.array(signed(s.content)),
                         pa.array(keys[t.first + of]),
-                        pa.array(s.start - w.start[of]),
+                        pa.array((s.start - w.start[of]).astype(np.int32)),
                         pa.array(s.count.astype(np.int32)),
                     ],
                     ["seed", "content", "key", "at", "windows"],
@@ -58,7 +58,7 @@ def _windows(text_col: str, length: int):
     """Hashes of all windows of the wanted segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             for t in texts(field(batch, text_col)):
                 w = words(t)
                 wanted = batch.column("wanted").slice(t.first, len(t.start)).to_pylist()
@@ -87,7 +87,7 @@ def _windows(text_col: str, length: int):
 
 def _remove(text_col: str, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = batch.column("found").to_pylist()
             out = []
             for t in texts(field(batch, text_col)):
@@ -132,7 +132,9 @@ def remove_repeated_passages(
     tables when called.
     """
     rows = keyed(docs, id_col, text_col)
-    seeds = stored(rows.mapInArrow(_seeds(text_col, length, gram), SEEDS), "seeds")
+    # Made twice from the texts: once to count them, once to be joined. That costs less than to keep
+    # them all, of which most occur once.
+    seeds = rows.mapInArrow(_seeds(text_col, length, gram), SEEDS)
     # A table, so that the join has plain shuffles on both sides and hot keys can be split.
     again = stored(
         seeds.groupBy("seed")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,7 +25,14 @@ def columns(**kinds: str) -> T.StructType:
     return T.StructType([T.StructField(n, _KINDS[k]) for n, k in kinds.items()])
 
 
-__all__ = ["keyed", "ranges", "merged", "stored", "field", "table_schema", "columns"]
+__all__ = ["keyed", "ranges", "merged", "stored", "field", "table_schema", "columns", "portions"]
+
+
+def portions(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that what is made of a slice stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
