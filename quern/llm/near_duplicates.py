@@ -1,9 +1,15 @@
 """Near-duplicate documents by a grouped prefix join on word shingles.
 
-Shingles have one global order, rare ones first: a sketch counts them in slots, and shingles of
-crowded slots come last, so that lines in very many documents stay out of the prefixes. Two
+Shingles have one global order, rare ones first. Every task counts the shingles it meets several
+times; summed over tasks these counts give the frequent shingles, of which the ``MOST_FREQUENT``
+commonest are shipped with their frequency and come last, by frequency, so that lines in very many
+documents stay out of the prefixes. Any order is right, a good one makes few candidates. Two
 sets with Jaccard similarity of at least ``share`` have a shingle of their prefixes in common.
 
+A set also has a bitmap, the parity of its shingles in ``BITS`` places: two sets differ in as many
+shingles at least as their bitmaps in bits, which rules out most pairs that are not similar
+enough before any text is moved.
+
 Documents of equal sets are one node; nodes of equal prefix and size are one group, and only
 groups are joined. First every group meets the least and the greatest group of each of its
 prefix shingles, which links a family of any size by as many pairs as rows. Then, for shingles
@@ -26,8 +32,11 @@ from quern.llm.components import components
 from quern.llm.hashing import BYTE_LOWER, Texts, mixed, of_grams, of_ranges, prefix_sums, signed, texts, words
 from quern.llm.tables import field, keyed, stored
 
-SLOTS = 1 << 17
-_SLOT = np.uint64(47)
+MOST_FREQUENT = 1 << 20
+COUNTED = 1 << 22  # shingles that a task counts at once
+IN_TASK, IN_ALL = 3, 8  # least counts, in a task and over all, of a shingle that is called frequent
+BITS = 512
+MAPS = [f"m{i}" for i in range(BITS // 64)]
 
 
 def shingles(t: Texts, size: int) -> list[np.ndarray]:
@@ -47,28 +56,67 @@ def shingles(t: Texts, size: int) -> list[np.ndarray]:
     return found
 
 
-def _count_slots(text_col: str, size: int):
+def _repeated(parts: list[np.ndarray]) -> pa.RecordBatch:
+    values, n = np.unique(np.concatenate(parts), return_counts=True)
+    often = n >= IN_TASK
+    return pa.RecordBatch.from_arrays([pa.array(signed(values[often])), pa.array(n[often])], ["shingle", "n"])
+
+
+def _count(text_col: str, size: int):
+    """The shingles that a task meets several times, and how often; in parts of bounded size."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = np.zeros(SLOTS, np.int64)
+        parts, n = [], 0
         for batch in batches:
             for t in texts(field(batch, text_col)):
-                found = np.concatenate(shingles(t, size))
-                slots += np.bincount((found >> _SLOT).astype(np.int64), minlength=SLOTS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLOTS, dtype=np.int32)), pa.array(slots)], ["slot", "n"])
+                parts += [np.unique(s) for s in shingles(t, size)]
+                n += sum(len(s) for s in parts[-len(t.start) :])
+                if n >= COUNTED:
+                    yield _repeated(parts)
+                    parts, n = [], 0
+        if parts:
+            yield _repeated(parts)
 
     return run
 
 
-def crowding(counts: np.ndarray) -> np.ndarray:
-    """0 for slots of about average count, up to 15 for crowded ones."""
-    ratio = np.maximum(counts, 1) / max(1.0, counts.mean())
-    return np.clip(np.floor(8 * np.log2(ratio)), 0, 15).astype(np.uint64)
+Frequent = tuple[np.ndarray, np.ndarray]
+
+
+def frequent(counts: pa.Table) -> Frequent:
+    """Frequent shingles in ascending order, and a number that ascends with their frequency."""
+    values = counts.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(values)
+    return values[order], counts.column("band").to_numpy()[order].astype(np.uint64)
+
+
+def _commonest(texts_of: DataFrame, text_col: str, size: int) -> pa.Table:
+    """``(shingle, band)`` of at most ``MOST_FREQUENT`` shingles, whole bands of frequency from the top."""
+    counted = texts_of.mapInArrow(_count(text_col, size), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    band = F.least(F.floor(2 * F.log2("n")), F.lit(63)).cast("int")
+    counted = stored(counted.where(F.col("n") >= IN_ALL).select("shingle", band.alias("band")), "frequent")
+    least, room = 64, MOST_FREQUENT
+    for b, n in sorted(counted.groupBy("band").count().collect(), reverse=True):  # at most 64 rows
+        if n > room:
+            break
+        least, room = b, room - n
+    return counted.where(F.col("band") >= least).toArrow().combine_chunks()
 
 
-def ordered(s: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+def ordered(s: np.ndarray, known: Frequent) -> np.ndarray:
     """The different shingles as numbers that ascend in the global order."""
-    place = crowded[(s >> _SLOT).astype(np.int64)] << np.uint64(60)
-    return np.unique(place | (s >> np.uint64(4)))
+    values, band = known
+    place = np.zeros(len(s), np.uint64)
+    if len(values):
+        at = np.minimum(np.searchsorted(values, s), len(values) - 1)
+        place = np.where(values[at] == s, band[at], place)
+    return np.unique((place << np.uint64(58)) | (s >> np.uint64(6)))
+
+
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """In how many places of ``BITS`` the number of shingles is odd, as signed words."""
+    odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _prefix(s: np.ndarray, percent: int) -> np.ndarray:
@@ -85,12 +133,12 @@ def _prefixes(shipped, text_col: str, size: int, percent: int):
     """(group, shingle) rows of every group, once for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crowded, seen = shipped.value, set()
+        known, seen = shipped.value, set()
         for batch in batches:
             for t in texts(field(batch, text_col)):
                 groups, parts = [], []
                 for s in shingles(t, size):
-                    s = ordered(s, crowded)
+                    s = ordered(s, known)
                     first = _prefix(s, percent)
                     group = _of_prefix(first, len(s)) if len(s) else None
                     if group is not None and group not in seen:
@@ -111,17 +159,19 @@ def _prefixes(shipped, text_col: str, size: int, percent: int):
 
 def _sketch(shipped, text_col: str, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crowded = shipped.value
+        known = shipped.value
         for batch in batches:
-            n, node, group = [], [], []
+            n, node, group, maps = [], [], [], []
             for t in texts(field(batch, text_col)):
                 for s in shingles(t, size):
-                    s = ordered(s, crowded)
+                    s = ordered(s, known)
                     both = np.array([s.sum(), np.bitwise_xor.reduce(s) if len(s) else 0], np.uint64)
                     one, two = mixed(both + np.uint64(len(s)))
                     n.append(len(s))
                     node.append(one ^ mixed(np.array([two]))[0])
                     group.append(_of_prefix(_prefix(s, percent), len(s)))
+                    maps.append(bitmap(s))
+            maps = np.array(maps, np.int64).reshape(len(n), len(MAPS))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
@@ -129,8 +179,9 @@ def _sketch(shipped, text_col: str, size: int, percent: int):
                     pa.array(np.array(n, np.int32)),
                     pa.array(signed(np.array(node, np.uint64))),
                     pa.array(np.array(group, np.int64)),
+                    *(pa.array(maps[:, i]) for i in range(len(MAPS))),
                 ],
-                ["key", "id", "n", "node", "grp"],
+                ["key", "id", "n", "node", "grp", *MAPS],
             )
 
     return run
@@ -174,6 +225,19 @@ def _least_shared(a: Column, b: Column, percent: int) -> Column:
     return overlap + 1 - F.ceil(F.greatest(a, b) * percent / F.lit(100) - F.lit(1e-9))
 
 
+def _near_in_bits(percent: int) -> Column:
+    """Whether the bitmaps ``m.._a`` and ``m.._b`` differ in no more bits than similar sets of sizes
+    ``n_a`` and ``n_b`` can differ in shingles."""
+    both = F.col("n_a") + F.col("n_b")
+    overlap = F.ceil(both * percent / F.lit(100 + percent) - F.lit(1e-9))
+    differing = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in MAPS), F.lit(0))
+    return differing <= both - 2 * overlap
+
+
+def _maps(side: str, of: str = "") -> list[Column]:
+    return [F.col(f"{of}{m}").alias(f"{m}_{side}") for m in MAPS]
+
+
 def _near_in_size(a: Column, b: Column, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
@@ -197,16 +261,12 @@ def near_duplicate_classes(
     spark = docs.sparkSession
     rows = keyed(docs, id_col, text_col)
     texts_of = rows.select("key", F.struct(F.col("row")[text_col].alias(text_col)).alias("row"), F.col("row")[id_col].alias("id"))
-    counts = np.zeros(SLOTS, np.int64)
-    totals = texts_of.mapInArrow(_count_slots(text_col, shingle), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    totals = totals.toArrow()  # as many rows as slots
-    counts[totals.column("slot").to_numpy()] = totals.column("n").to_numpy()
-    shipped = spark.sparkContext.broadcast(crowding(counts))
+    shipped = spark.sparkContext.broadcast(frequent(_commonest(texts_of, text_col, shingle)))
     id_type = docs.schema[id_col].dataType.simpleString()
     sketch = stored(
         texts_of.mapInArrow(
             _sketch(shipped, text_col, shingle, percent),
-            f"key long, id {id_type}, n int, node long, grp long",
+            f"key long, id {id_type}, n int, node long, grp long, " + ", ".join(f"{m} long" for m in MAPS),
         ),
         "sketch",
     )
@@ -215,7 +275,7 @@ def near_duplicate_classes(
         .groupBy("node")
         .agg(
             F.min(F.struct("id", "key")).alias("first"), F.min("n").alias("n"),
-            F.min("grp").alias("grp"), F.min("key").alias("key"),
+            F.min("grp").alias("grp"), F.min("key").alias("key"), *[F.min(m).alias(m) for m in MAPS],
         ),
         "nodes",
     )
@@ -227,7 +287,7 @@ def near_duplicate_classes(
         .distinct(),
         "shared",
     )
-    heads = nodes.groupBy("grp").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("members"))
+    heads = nodes.groupBy("grp").agg(F.min(F.struct("node", "n", *MAPS)).alias("head"), F.count("*").alias("members"))
     met = (
         shared.select("grp", F.explode(F.array("least", "most")).alias("other"))
         .where("grp <> other")
@@ -235,13 +295,13 @@ def near_duplicate_classes(
         .agg(F.count("*").alias("seen"))
         .unionByName(heads.where("members > 1").select("grp", F.col("grp").alias("other"), F.lit(None).alias("seen")))
     )
-    of = nodes.select("grp", F.col("node").alias("a"), F.col("n").alias("n_a"))
+    of = nodes.select("grp", F.col("node").alias("a"), F.col("n").alias("n_a"), *_maps("a"))
     # A pair sharing few of the shingles counted here is left to the second part, which counts all.
     promising = F.col("seen").isNull() | (F.col("seen") * 8 >= _least_shared(F.col("n_a"), F.col("n_b"), percent))
     stars = stored(
         met.join(of, "grp")
-        .join(heads.select(F.col("grp").alias("other"), F.col("head.node").alias("b"), F.col("head.n").alias("n_b")), "other")
-        .where(_near_in_size(F.col("n_a"), F.col("n_b"), percent) & (F.col("a") != F.col("b")) & promising)
+        .join(heads.select(F.col("grp").alias("other"), F.col("head.node").alias("b"), F.col("head.n").alias("n_b"), *_maps("b", "head.")), "other")
+        .where(_near_in_size(F.col("n_a"), F.col("n_b"), percent) & (F.col("a") != F.col("b")) & promising & _near_in_bits(percent))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct(),
         "pairs",
@@ -266,20 +326,22 @@ def near_duplicate_classes(
     tokens = shared.select("token", "grp", F.lit(False).alias("crowd")).unionByName(
         crowds.select(F.col("grp").alias("token"), "grp", F.lit(True).alias("crowd"))
     )
-    labelled = nodes.select("grp", "node", "n").join(root, "node", "left").select(
-        "grp", "node", "n", F.coalesce("root", "node").alias("root")
+    labelled = nodes.select("grp", "node", "n", *MAPS).join(root, "node", "left").select(
+        "grp", "node", "n", *MAPS, F.coalesce("root", "node").alias("root")
     )
-    placed = tokens.join(labelled, "grp").select("token", "crowd", "node", "n", "root")
+    placed = tokens.join(labelled, "grp").select("token", "crowd", "node", "n", *MAPS, "root")
     by_root = placed.groupBy("token", "crowd", "root").agg(F.count("*").alias("size"))
     open_ = by_root.groupBy("token", "crowd").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count("*").alias("roots"))
-    left = stored(placed.join(open_.where("roots > 1"), ["token", "crowd"]).select("token", "crowd", "node", "n", "root", "largest"), "open")
-    few = left.where("root <> largest").select("token", "crowd", "largest", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    many = left.select("token", "crowd", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    left = stored(placed.join(open_.where("roots > 1"), ["token", "crowd"]).select("token", "crowd", "node", "n", *MAPS, "root", "largest"), "open")
+    few = left.where("root <> largest").select("token", "crowd", "largest", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), *_maps("a"))
+    many = left.select("token", "crowd", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), *_maps("b"))
     # Every shingle that a pair of different components shares is met here, each once.
     once = (F.col("root_b") == F.col("largest")) | (F.col("a") < F.col("b"))
     rest = (
         few.join(many, ["token", "crowd"])
-        .where((F.col("root_a") != F.col("root_b")) & once & _near_in_size(F.col("n_a"), F.col("n_b"), percent))
+        .where(
+            (F.col("root_a") != F.col("root_b")) & once & _near_in_size(F.col("n_a"), F.col("n_b"), percent) & _near_in_bits(percent)
+        )
         .select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "crowd",
             _least_shared(F.col("n_a"), F.col("n_b"), percent).alias("needed"),
@@ -297,7 +359,7 @@ def near_duplicate_classes(
     names = labelled.groupBy("root").agg(F.min("first").alias("name"))
     named = labelled.join(names, "root").select("node", "name")
     own = F.struct("id", "key")
-    return sketch.drop("grp").join(named, "node", "left").select(
+    return sketch.drop("grp", *MAPS).join(named, "node", "left").select(
         "key",
         "id",
         F.col("n").cast("long").alias("n_shingles"),
