@@ -8,7 +8,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from quern.llm.near_duplicates import near_duplicate_classes, without_near_duplicates
+from quern.llm import near_duplicates
+from quern.llm.near_duplicates import bitmap, near_duplicate_classes, without_near_duplicates
 from quern.llm.substring_dedup import remove_repeated_passages
 from quern.llm.suffix_dedup import remove_repeated_bytes
 from quern.llm.suffixes import common_prefixes, suffix_arrays
@@ -125,7 +126,21 @@ def brute_classes(docs, size, percent):
     return sorted((d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(docs))
 
 
-def test_near_duplicates(spark):
+def test_bitmaps_never_differ_more_than_sets():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 100, 2000):
+        a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[: n // 2], rng.integers(0, 1 << 62, n // 3, dtype=np.uint64))))
+        bits = int(np.bitwise_count((bitmap(a) ^ bitmap(b)).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(a, b)) and (bits - len(np.setxor1d(a, b))) % 2 == 0
+        assert len(bitmap(a)) == len(near_duplicates.MAPS) and bitmap(a).tolist() == bitmap(a[::-1]).tolist()
+
+
+@pytest.mark.parametrize(("least", "most"), [(8, 1 << 20), (3, 1 << 20), (3, 40), (1, 0)])
+def test_near_duplicates(spark, monkeypatch, least, most):
+    """Whatever shingles are called frequent, and however many."""
+    monkeypatch.setattr(near_duplicates, "IN_ALL", least)
+    monkeypatch.setattr(near_duplicates, "MOST_FREQUENT", most)
     rng = random.Random(1)
     docs = []
     for _ in range(20):
