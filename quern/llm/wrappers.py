@@ -22,7 +22,6 @@ import html
 import json
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field as part
 from hashlib import blake2b
@@ -115,11 +114,12 @@ def read(page: str | None) -> Node:
     root = Node("#root")
     open_ = [root]  # elements that take children
     tags = ["#root"]  # of all open elements, those too deep included
-    counts = Counter(tags)
+    counts = {"#root": 1}
     page, at = page or "", 0
 
     def close(depth: int) -> None:
-        counts.subtract(tags[depth:])
+        for t in tags[depth:]:
+            counts[t] -= 1
         del tags[depth:], open_[depth:]
 
     while at < len(page):
@@ -134,8 +134,11 @@ def read(page: str | None) -> Node:
             open_[-1].children.append(html.escape(m[0][9:].removesuffix("]]>")))
         elif tag and closing:
             tag = tag.lower()
-            if counts[tag] > 0:
-                close(next(d for d in range(len(tags) - 1, 0, -1) if tags[d] == tag))
+            if counts.get(tag):
+                depth = len(tags) - 1
+                while tags[depth] != tag:
+                    depth -= 1
+                close(depth)
         elif tag:
             tag = tag.lower()
             if tag not in INLINE:
@@ -152,7 +155,7 @@ def read(page: str | None) -> Node:
                 at = end.end()
             elif tag not in VOID and not attributes.rstrip().endswith("/"):
                 tags.append(tag)
-                counts[tag] += 1
+                counts[tag] = counts.get(tag, 0) + 1
                 if len(open_) < DEEPEST:
                     open_.append(node)
     return root
