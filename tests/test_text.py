@@ -52,7 +52,7 @@ def test_tokens_are_linear_on_long_runs(spark):
 def test_lines(spark):
     documents = spark.createDataFrame([(3, "x\n\ny")], "doc_id bigint, text string")
     assert rows(scan_lines(documents), "line_no", "line_id", "line") == {
-        (0, 3_000_000, "x"), (1, 3_000_001, ""), (2, 3_000_002, "y"),
+        (0, 3 << 31, "x"), (1, (3 << 31) + 1, ""), (2, (3 << 31) + 2, "y"),
     }
 
 
