@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,9 +29,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_open: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes at its end the folders that ``fresh_path`` has named within it, and no others.
+
+    Gives the list of these paths; one that is taken out of it stays. Whatever is computed from the
+    others has to be written before the end.
+    """
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.remove(made)
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stored(rows: DataFrame, label: str = "stored") -> DataFrame:

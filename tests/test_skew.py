@@ -1,8 +1,13 @@
 """Hot keys: bounded, found, and without effect on results."""
 
+from pathlib import Path
+from urllib.parse import urlparse
+
+import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import bigrams, graph, index, pagerank
+from quern.plans import scratch
 from quern.plans.skew import hot_keys, sliced_join
 
 
@@ -76,3 +81,21 @@ def test_frequent_words_in_slices(spark, monkeypatch):
     monkeypatch.setattr(bigrams, "hot_keys", small)
     monkeypatch.setattr(index, "hot_keys", small)
     assert run() == whole
+
+
+def test_temporary_tables_go_and_no_others(spark):
+    def there(rows):
+        return Path(urlparse(rows.inputFiles()[0]).path).exists()
+
+    kept = scratch.stored(spark.range(5))
+    with scratch.temporary(spark) as outer:
+        first = scratch.stored(spark.range(5))
+        with scratch.temporary(spark) as made:
+            gone, stays = scratch.stored(spark.range(3)), scratch.stored(spark.range(4))
+            made.pop()
+        assert not there(gone) and there(stays) and there(first) and len(outer) == 1
+    assert there(kept) and there(stays) and not there(first)
+    with pytest.raises(ValueError, match="inside"), scratch.temporary(spark):
+        lost = scratch.stored(spark.range(2))
+        raise ValueError("inside")
+    assert not there(lost) and stays.count() == 4
