@@ -11,6 +11,7 @@ from quern.llm.queries import mixed
 from quern.llm.substring_dedup import remove_repeated_passages
 from quern.llm.tables import stored
 from quern.llm.toxicity import score, train
+from quern.plans.scratch import temporary
 from quern.sources.tables import scan_parquet
 
 
@@ -56,13 +57,14 @@ STAGES = [
     ("benchmark decontamination", uncontaminated),
     ("mixing sources to target weights", mix),
 ]
-ORACLE_SQL = None  # no SQL for the fitted classifier; tested stage by stage against brute force
+ORACLE_SQL = None  # no SQL for the fitted classifier; tests/llm tests every stage against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; tables that only earlier stages needed are removed on the way."""
     docs = scan_parquet(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(docs, "stage")
-    return docs
+    for _, stage in STAGES[:-1]:
+        with temporary(spark) as made:
+            docs = stored(stage(spark, docs, sf_dir), "stage")
+            made.pop()  # the stage's own table
+    return STAGES[-1][1](spark, docs, sf_dir)
