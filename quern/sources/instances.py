@@ -10,12 +10,13 @@ SPAM = "spam"
 
 
 def scan_labelled_features(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``(doc_id, label, features)``; label 1 for ``spam``, else 0; features in order."""
+    """``(doc_id, label, features)``; label 1 for ``spam``, else 0; features in order.
+
+    A document without features may end in a blank: an empty field is no feature."""
     fields = F.split(F.col(column), " ")
+    features = F.slice(fields, F.lit(3), F.greatest(F.size(fields) - 2, F.lit(0)))
     return lines.select(
         fields.getItem(0).alias("doc_id"),
         (fields.getItem(1) == SPAM).cast("int").alias("label"),
-        F.slice(fields, F.lit(3), F.greatest(F.size(fields) - 2, F.lit(0)))
-        .cast("array<int>")
-        .alias("features"),
+        F.filter(features, lambda f: f != "").cast("array<int>").alias("features"),
     )

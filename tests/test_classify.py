@@ -174,3 +174,11 @@ def test_shuffle_is_repeatable(training):
 def test_trials(training):
     trials = classify.shuffle_trials(training.drop("model_id", "order_key"), training, [1, 2, 3], 0.5)
     assert {r.model_id for r in trials.collect()} == {1, 2, 3}
+
+
+def test_parse_a_document_without_features(spark):
+    """What is written for a document without words ends in a blank."""
+    lines = spark.createDataFrame([("5 ham ",), ("6 spam",), ("7 ham 3 ",)], "value string")
+    assert [tuple(r) for r in scan_labelled_features(lines).collect()] == [
+        ("5", 0, []), ("6", 1, []), ("7", 0, [3]),
+    ]
