@@ -146,3 +146,15 @@ def test_lookup_opens_only_the_buckets_of_its_terms(spark, blocks, tmp_path):
         spark.conf.unset(automatic)
     assert re.search("SelectedBucketsCount: [12] out of 16", plan)
     assert listing(found) == {("dog", 3, 1), ("dog", 7, 1), ("dog", 41, 1)}
+
+
+def test_decoding_makes_no_row_per_posting(spark):
+    """Blocks are decoded as they are: not taken apart, summed by a window and collected again."""
+    lines = spark.createDataFrame([(i, "a b a") for i in range(30)], "line_id bigint, line string")
+    encoded = index.encode_gaps(stored(index.posting_blocks(lines, 7))).localCheckpoint()
+    decoded = index.decode_gaps(encoded)
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "collect_list" not in plan
+    assert {(r.term, r.line_id, r.tf) for r in index.flat(decoded).collect()} == {
+        (term, i, tf) for term, tf in (("a", 2), ("b", 1)) for i in range(30)
+    }
