@@ -39,18 +39,31 @@ def shuffle_instances(instances: DataFrame, seed: int) -> DataFrame:
     return instances.withColumn("order_key", order_key(seed)).orderBy("order_key", "doc_id")
 
 
+# So many documents of a training set are numbered at a time.
+DOCUMENTS_AT_ONCE = 1000
+
+
 def _online_pass(shard: pd.DataFrame, rate: float) -> pd.DataFrame:
-    """One pass of online logistic regression over a training set in the given order."""
+    """One pass of online logistic regression over a training set in the given order.
+
+    Beside the training set itself it holds the different features and some documents."""
     shard = shard.sort_values(["order_key", "doc_id"], kind="stable")
-    sizes = shard["features"].map(len).to_numpy()
-    names, places = np.unique(np.concatenate(shard["features"].to_list()), return_inverse=True)
+    documents, labels = shard["features"].to_list(), shard["label"].to_list()
+    starts = range(0, len(documents), DOCUMENTS_AT_ONCE)
+    names = np.unique(np.concatenate(documents[:1]))
+    for first in starts:
+        names = np.union1d(names, np.concatenate(documents[first : first + DOCUMENTS_AT_ONCE]))
     weights = np.zeros(len(names))
-    ends = np.cumsum(sizes)
-    for start, end, label in zip(ends - sizes, ends, shard["label"]):
-        mine = places[start:end]
-        score = weights[mine].sum()
-        probability = 1.0 / (1.0 + np.exp(-score))
-        np.add.at(weights, mine, (label - probability) * rate)
+    for first in starts:
+        some = documents[first : first + DOCUMENTS_AT_ONCE]
+        found, places = np.unique(np.concatenate(some), return_inverse=True)
+        places = np.searchsorted(names, found)[places]
+        ends = np.cumsum([len(features) for features in some])
+        for start, end, label in zip([0, *ends[:-1]], ends, labels[first:]):
+            mine = places[start:end]
+            score = weights[mine].sum()
+            probability = 1.0 / (1.0 + np.exp(-score))
+            np.add.at(weights, mine, (label - probability) * rate)
     return pd.DataFrame({"feature": names.astype("int32"), "weight": weights})
 
 

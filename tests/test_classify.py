@@ -2,7 +2,11 @@
 
 import math
 import random
+import tracemalloc
+from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +186,27 @@ def test_parse_a_document_without_features(spark):
     assert [tuple(r) for r in scan_labelled_features(lines).collect()] == [
         ("5", 0, []), ("6", 1, []), ("7", 0, [3]),
     ]
+
+
+def test_an_online_pass_holds_little_beside_its_documents():
+    """Numbers of features are made for some documents at a time, with the same weights."""
+    rng = np.random.default_rng(3)
+    features = [rng.integers(0, 5000, 200, dtype="int32") for _ in range(6000)]
+    documents = [(i, i % 2, f, f"{i:05d}") for i, f in enumerate(features)]
+    shard = pd.DataFrame(documents, columns=["doc_id", "label", "features", "order_key"])
+    tracemalloc.start()
+    found = classify._online_pass(shard, 0.002)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    plain = [(i, label, f.tolist(), key) for i, label, f, key in documents]
+    assert dict(zip(found["feature"], found["weight"])) == pytest.approx(plain_online_repeats(plain), abs=1e-9)
+    assert most < 3 * sum(f.nbytes for f in features)
+
+
+def plain_online_repeats(documents, rate=0.002):
+    w = Counter()
+    for _, label, features, _ in documents:
+        p = 1 / (1 + math.exp(-sum(w[f] for f in features)))
+        for f in features:
+            w[f] += (label - p) * rate
+    return w
