@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.plans.scratch import stored
 from quern.plans.skew import ROWS_PER_SLICE, hot_keys, per_slice, sliced_join, with_slice
+from quern.sources.files import shuffle_parts
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -95,16 +96,25 @@ def weighted_links(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     the whole rank of a node without out-edges, are lost; they have no ``dst``, so the
     weights of every node add up to 1.
     """
-    repeated = edges.groupBy("src", "dst").agg(F.count("*").alias("times"))
+    parts = shuffle_parts(edges)
     degrees = stored(out_degrees(edges), "degrees")
-    shares = sliced_join(
-        repeated, degrees, "src", hot_keys(degrees, "src", "out_degree"), ["dst"]
-    ).select("src", "dst", (F.col("times") / F.col("out_degree")).alias("weight"))
+    hot = hot_keys(degrees, "src", "out_degree")
+    # Edges go to the slice of their source once: repeated ones are counted and joined there.
+    repeated = (
+        with_slice(edges.select("src", "dst"), "src", hot, ["dst"])
+        .repartition(parts, "src", "slice")
+        .groupBy("src", "slice", "dst")
+        .agg(F.count("*").alias("times"))
+    )
+    sliced = per_slice(degrees, "src", hot).repartition(parts, "src", "slice")
+    shares = repeated.join(sliced, ["src", "slice"]).select(
+        "src", "dst", (F.col("times") / F.col("out_degree")).alias("weight")
+    )
 
     in_degrees = stored(edges.groupBy("dst").agg(F.count("*").alias("in_degree")), "degrees")
     known = nodes.select(F.col("node_id").alias("dst"), F.lit(True).alias("known"))
     reached = sliced_join(
-        shares, known, "dst", hot_keys(in_degrees, "dst", "in_degree"), ["src"], "left"
+        shares, known, "dst", hot_keys(in_degrees, "dst", "in_degree"), ["src"], "left", parts
     ).select("src", F.when(F.col("known"), F.col("dst")).alias("dst"), "weight")
 
     dangling = nodes.join(degrees, F.col("node_id") == F.col("src"), "left_anti").select(

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from quern.operators.graph import graph_duplicate_nodes, weighted_links
 from quern.plans.scratch import checkpointed, fresh_path, stored
 from quern.plans.skew import ROWS_PER_SLICE, hot_keys, per_slice, with_slice
+from quern.sources.files import shuffle_parts
 
 # Fixed value: the chance of a jump back to the source.
 JUMP = 0.15
@@ -60,7 +61,7 @@ def prepare_links(
     # With a fixed number of partitions the cached links satisfy the join of every
     # iteration as they are; the planner knows their layout once they have been counted.
     # Cached blocks of a lost executor are rebuilt from the stored table of links.
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = shuffle_parts(weighted)
     placed = rows.repartition(parts, "src", "slice").sortWithinPartitions("src", "slice")
     placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
     placed.count()

@@ -167,3 +167,29 @@ def test_links_stay_in_place(tiny):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         links.release()
+
+
+def test_partitions_of_large_graphs_follow_the_size_of_the_tables(spark, tmp_path, monkeypatch):
+    """Peak memory of a task grew with the tables: the number of partitions did not."""
+    from quern.plans import inputs
+    from quern.sources import files
+
+    rows = spark.range(60_000).selectExpr("id % 9000 AS l_orderkey", "id % 7001 AS l_partkey", "id % 101 AS l_suppkey")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(9000).selectExpr("id AS o_orderkey", "id % 977 AS o_custkey").write.parquet(
+        str(tmp_path / "orders.parquet")
+    )
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = inputs.trade_edges(spark, str(tmp_path))
+    assert files.shuffle_parts(found) == least
+    assert files.shuffle_parts(found, part_bytes=1000) > 10 * least
+    many = 3 * least
+    monkeypatch.setattr(inputs, "shuffle_parts", lambda rows: many)
+    monkeypatch.setattr(graph, "shuffle_parts", lambda rows: many)
+    again = inputs.trade_edges(spark, str(tmp_path))
+    assert len(again.inputFiles()) > 2 * least
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))
+    nodes = again.selectExpr("src AS node_id").union(again.selectExpr("dst")).distinct().where("node_id % 5 > 0")
+    links = graph.weighted_links(nodes, again)
+    total = links.groupBy("src").sum("weight").agg({"sum(weight)": "min"}).first()[0]
+    assert abs(total - 1) < 1e-9
