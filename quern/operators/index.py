@@ -27,21 +27,13 @@ from quern.sources.lines import LINES_PER_DOCUMENT
 
 # A thousand documents.
 BLOCK = 1000 * LINES_PER_DOCUMENT
+BLOCK_ROWS = "term string, block bigint, postings array<struct<line_id:bigint,tf:int>>"
+TOKENS_AT_ONCE = 1 << 20
 
 
 def postings(lines: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``(term, block, line_id, tf)``.
-
-    Occurrences go to their block at once. Counting per line and collecting the block
-    afterwards both work inside that partitioning, so this is the only shuffle.
-    """
-    return (
-        lines.select("line_id", F.explode(tokens("line")).alias("term"))
-        .withColumn("block", F.floor(F.col("line_id") / block).cast("bigint"))
-        .repartition("term", "block")
-        .groupBy("term", "block", "line_id")
-        .agg(F.count("*").cast("int").alias("tf"))
-    )
+    """``(term, block, line_id, tf)``."""
+    return flat(posting_blocks(lines, block))
 
 
 def _entries(ids: pa.Array, name: str, tf: pa.Array, ends: np.ndarray) -> pa.Array:
@@ -50,12 +42,137 @@ def _entries(ids: pa.Array, name: str, tf: pa.Array, ends: np.ndarray) -> pa.Arr
     return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([ids, tf], [name, "tf"]))
 
 
-def posting_blocks(lines: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``(term, block, postings)`` with postings = array of (line_id, tf), ascending."""
-    return (
-        postings(lines, block)
-        .groupBy("term", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("line_id", "tf"))).alias("postings"))
+def posting_blocks(
+    lines: DataFrame, block: int = BLOCK, tokens_at_once: int = TOKENS_AT_ONCE
+) -> DataFrame:
+    """``(term, block, postings)`` with postings = array of (line_id, tf), ascending.
+
+    The tokens of many lines become short lists per (term, block) next to the scan: lists are
+    shuffled, not occurrences. Sorted by (term, block), the lists of a block follow each other and
+    are joined as they pass.
+    """
+    words = lines.select(
+        "line_id",
+        F.floor(F.col("line_id") / block).cast("bigint").alias("block"),
+        tokens("line").alias("tokens"),
+    ).where(F.size("tokens") > 0)
+    lists = words.mapInArrow(
+        lambda batches: _short_lists(batches, tokens_at_once), BLOCK_ROWS
+    ).repartition("term", "block")
+    return lists.sortWithinPartitions("term", "block").mapInArrow(_joined_lists, BLOCK_ROWS)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it; the first one does."""
+    found = np.zeros(len(columns[0]), dtype=bool)
+    found[:1] = True
+    for column in columns:
+        found[1:] |= column[1:] != column[:-1]
+    return found
+
+
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values, 0 for null, and which are present."""
+    return pc.fill_null(column, 0).to_numpy(zero_copy_only=False), column.is_valid().to_numpy(zero_copy_only=False)
+
+
+def _ids(values: np.ndarray, present: np.ndarray) -> pa.Array:
+    return pa.array(values, pa.int64(), mask=~present)
+
+
+def _block_rows(terms: pa.Array, block: pa.Array, ids: pa.Array, tf: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+    listed = _entries(ids, "line_id", pa.array(tf.astype("int32")), ends)
+    return pa.record_batch([terms, block, listed], ["term", "block", "postings"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until their lists hold ``most`` entries."""
+    held, entries = [], 0
+    for batch in batches:
+        held.append(batch)
+        entries += pc.sum(pc.list_value_length(batch[column])).as_py() or 0
+        if entries >= most:
+            yield pa.concat_batches(held)
+            held, entries = [], 0
+    if entries:
+        yield pa.concat_batches(held)
+
+
+def _short_lists(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The postings of ``most`` tokens at a time, one list per (term, block)."""
+    for batch in _gathered(batches, "tokens", most):
+        ids, present = _numbers(batch["line_id"])
+        blocks, _ = _numbers(batch["block"])
+        words = batch["tokens"].flatten().dictionary_encode()
+        # Distinct line ids by block, with the number of each line's id among them.
+        order = np.lexsort((ids, blocks, present))
+        first = _changes(present[order], ids[order])
+        number = np.empty(len(order), dtype="int64")
+        number[order] = np.cumsum(first) - 1
+        distinct = order[first]
+        of_token = np.repeat(number, batch["tokens"].value_lengths().to_numpy())
+        key, tf = np.unique(
+            words.indices.to_numpy().astype("int64") * len(distinct) + of_token, return_counts=True
+        )
+        code, line = np.divmod(key, len(distinct))
+        line = distinct[line]
+        starts = np.flatnonzero(_changes(code, blocks[line], present[line]))
+        at = line[starts]
+        yield _block_rows(
+            words.dictionary.take(pa.array(code[starts])),
+            _ids(blocks[at], present[at]),
+            _ids(ids[line], present[line]),
+            tf,
+            np.append(starts[1:], len(key)),
+        )
+
+
+def _joined_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by (term, block) with the lists of equal ones joined; an id that comes twice is summed."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = batch.slice(batch.num_rows - 1)
+        if held and _same_block(held[0], batch.slice(0, 1)) and _same_block(batch.slice(0, 1), last):
+            held.append(batch)
+            continue
+        # The last (term, block) may go on in the next batch.
+        starts = np.flatnonzero(_new_blocks(batch))
+        held.append(batch.slice(0, starts[-1]))
+        if sum(b.num_rows for b in held):
+            yield _joined(pa.concat_batches(held))
+        held = [batch.slice(starts[-1])]
+    if held:
+        yield _joined(pa.concat_batches(held))
+
+
+def _new_blocks(batch: pa.RecordBatch) -> np.ndarray:
+    terms = batch["term"].dictionary_encode().indices.to_numpy()
+    return _changes(terms, *_numbers(batch["block"]))
+
+
+def _same_block(one: pa.RecordBatch, other: pa.RecordBatch) -> bool:
+    return all(one[c][0].as_py() == other[c][0].as_py() for c in ("term", "block"))
+
+
+def _joined(batch: pa.RecordBatch) -> pa.RecordBatch:
+    new = _new_blocks(batch)
+    entries = batch["postings"].flatten()
+    group = np.repeat(np.cumsum(new), batch["postings"].value_lengths().to_numpy())
+    ids, present = _numbers(pc.struct_field(entries, "line_id"))
+    tf = pc.struct_field(entries, "tf").to_numpy()
+    order = np.lexsort((ids, group))
+    group, ids, present, tf = group[order], ids[order], present[order], tf[order]
+    first = np.flatnonzero(_changes(group, ids, present))
+    ends = np.append(np.flatnonzero(_changes(group[first]))[1:], len(first))
+    rows = pa.array(np.flatnonzero(new))
+    return _block_rows(
+        batch["term"].take(rows),
+        batch["block"].take(rows),
+        _ids(ids[first], present[first]),
+        np.add.reduceat(tf, first),
+        ends,
     )
 
 
