@@ -167,6 +167,27 @@ def test_language_model(spark):
         assert by_id[1000]["score"] == by_id[1001]["score"]
 
 
+def test_language_model_expects_by_rows_of_a_class(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    docs = [None, "", *(" ".join(rng.choice(["ab", "b", "Ca", "dd"]) for _ in range(rng.randint(0, 40))) for _ in range(20))]
+    batch = pa.RecordBatch.from_pylist([{"row": {"text": t}} for t in docs])
+    weights = np.random.default_rng(2).normal(size=language_model.SHAPE).astype(np.float32)
+    wanted = np.zeros(language_model.SHAPE)
+    for t in language_model.texts(language_model.field(batch, "text")):
+        k = language_model.tokens(t)
+        z = np.exp(sum(weights[f][k.buckets[f]].astype(float) for f in range(language_model.FEATURES)))
+        for f in range(language_model.FEATURES):
+            np.add.at(wanted[f], k.buckets[f], z / z.sum(axis=1, keepdims=True))
+    monkeypatch.setattr(language_model, "PIECE", 7)  # pieces end within texts
+    (got,) = language_model._expect(SimpleNamespace(value=weights), "text")(iter([batch]))
+    sums = np.frombuffer(got.column("sums")[0].as_buffer(), np.float32).reshape(language_model.SHAPE)
+    assert np.allclose(sums, wanted, rtol=1e-4, atol=1e-5)
+
+
 def test_language_model_chances_sum_to_one():
     from quern.llm.hashing import Texts
 
