@@ -68,3 +68,14 @@ def test_only_small_inputs_are_dealt_out(spark, tmp_path):
     spark.range(100).repartition(20).write.parquet(path)
     many = spark.read.parquet(path)
     assert spread(many) is many
+
+
+def test_a_task_gets_one_part_of_the_files_at_most(spark, tmp_path, monkeypatch):
+    from quern.plans import inputs
+
+    spark.range(1000).repartition(1).write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    monkeypatch.setattr(inputs, "PART_BYTES", 100)
+    dealt = inputs.spread(rows)
+    assert dealt.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in dealt.collect()) == list(range(1000))

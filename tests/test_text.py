@@ -148,6 +148,22 @@ def test_pmi_pairs(spark, cut, broadcast_words):
     close(got, expected)
 
 
+@pytest.mark.parametrize("most", [0, 3, 5, 1000])
+def test_pairs_are_shuffled_as_numbers_of_the_most_frequent_words(spark, most):
+    corpus = [*random_corpus(lines=200), "é ü wa", "wa wb"]
+    bags = as_lines(spark, [*corpus, None]).select(first_distinct(tokens("line"), 40).alias("words"))
+    frequency = cooccur.word_frequency(bags).where("word is not null")
+    known, every = cooccur.most_frequent(frequency, most)
+    counts = {r.word: r.n for r in frequency.collect()}
+    chosen = {r.word for r in known.collect()}
+    assert len(chosen) <= most and every == (len(chosen) == len(counts))
+    assert all(counts[x] > counts[y] for x in chosen for y in counts.keys() - chosen)
+    expected = shared_lines(set(plain_tokens(line)) for line in corpus)
+    got = cooccur.unordered_pairs(bags, frequency, 2, most, held=50)
+    assert rows(got, "word", "other", "n") == {(x, y, n) for (x, y), n in expected.items() if x < y and n >= 2}
+    assert got.count() == sum(x < y and n >= 2 for (x, y), n in expected.items())
+
+
 def test_pmi_stripes_hold_the_pairs(spark):
     lines = as_lines(spark, random_corpus())
     pairs = rows(cooccur.pmi_pairs(lines, 2), "left_word", "right_word", "pmi", "n")
