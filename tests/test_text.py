@@ -271,3 +271,19 @@ def test_tokens_of_odd_lines(spark):
     lines = ["".join(rng.choices("ab Z9'\t\r\f.-\u0085 éİ世", k=rng.randint(0, 30))) for _ in range(500)]
     found = as_lines(spark, lines).select("line_id", tokens("line").alias("t")).collect()
     assert {r.line_id: r.t for r in found} == {i: plain_tokens(line) for i, line in enumerate(lines)}
+
+
+def test_bigram_stripes_are_made_from_the_bigrams_at_once(spark, monkeypatch):
+    """Bigrams move once after they are counted, and no table of pairs with frequencies is written."""
+    written, real = [], bigrams.stored
+    monkeypatch.setattr(bigrams, "stored", lambda rows, label="stored": written.append(label) or real(rows, label))
+    lines = as_lines(spark, random_corpus())
+    stripes = bigrams.bigram_relfreq_stripes(lines, entries_per_map=3)
+    assert written == ["bigrams", "marginals"]
+    flat = stripes.select("left_word", "slice", F.explode("stripe").alias("r", "f")).collect()
+    pairs = rows(bigrams.bigram_relfreq_pairs(lines), "left_word", "right_word", "frequency")
+    assert len(flat) == len({(r.left_word, r.r) for r in flat})
+    assert {(r.left_word, r.r, r.f) for r in flat} == {p for p in pairs if p[1] != "*"}
+    partners = Counter(r.left_word for r in flat)
+    cut = {r.left_word for r in flat if r.slice > 0}
+    assert cut and all(partners[w] > 3 for w in cut)
