@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from quern.operators.graph import graph_duplicate_nodes, weighted_links
 from quern.plans.scratch import checkpointed, fresh_path, stored
 from quern.plans.skew import ROWS_PER_SLICE, hot_keys, per_slice, with_slice
-from quern.sources.files import shuffle_parts
+from quern.sources.files import exists, shuffle_parts
 
 # Fixed value: the chance of a jump back to the source.
 JUMP = 0.15
@@ -47,14 +47,23 @@ class Links:
         return placed.join(self.rows, ["src", "slice"])
 
 
+def checked_links(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The weighted links, not computed yet, after a check of the node records."""
+    twice = graph_duplicate_nodes(nodes).limit(1).count()
+    if twice:
+        raise ValueError("a node id has more than one record")
+    return weighted_links(nodes, edges)
+
+
 def prepare_links(
     nodes: DataFrame, edges: DataFrame, links_per_slice: int = ROWS_PER_SLICE
 ) -> Links:
     """Check the node records and lay out the links."""
-    twice = graph_duplicate_nodes(nodes).limit(1).count()
-    if twice:
-        raise ValueError("a node id has more than one record")
-    weighted = stored(weighted_links(nodes, edges), "links")
+    return laid_out(stored(checked_links(nodes, edges), "links"), links_per_slice)
+
+
+def laid_out(weighted: DataFrame, links_per_slice: int = ROWS_PER_SLICE) -> Links:
+    """Weighted links of a table, laid out for all iterations."""
     counts = weighted.groupBy("src").agg(F.count("*").alias("links"))
     hot = checkpointed(hot_keys(counts, "src", "links", links_per_slice))
     rows = with_slice(weighted, "src", hot, ["dst", "weight"])
@@ -132,13 +141,15 @@ def personalized_pagerank(
     is written.
 
     ``state`` is a folder shared by the cluster with one table per iteration. With
-    ``start`` > 0 the run goes on from that iteration's table.
+    ``start`` > 0 the run goes on from that iteration's table, with the weighted links that the run
+    from 0 has left beside it; ``nodes`` and ``edges`` have to be those of that run. Links are only
+    made again where there are none.
     """
     spark = nodes.sparkSession
     state = state or fresh_path(spark, "ranks")
     if start == 0:
         initial_ranks(nodes, sources).write.mode("overwrite").parquet(iteration_path(state, 0))
-    links = prepare_links(nodes, edges)
+    links = laid_out(_links_of(state, nodes, edges, start))
     for done in range(start, iterations):
         ranks = read_ranks(spark, state, done)
         after = ppr_iteration(links, ranks, jump)
@@ -151,6 +162,15 @@ def personalized_pagerank(
     return read_ranks(spark, state, iterations)
 
 
+def _links_of(state: str, nodes: DataFrame, edges: DataFrame, start: int) -> DataFrame:
+    """The weighted links that lie in ``state``; they are written there unless a run resumes on them."""
+    spark, path = nodes.sparkSession, f"{state}/links"
+    # The mark of Spark's writers: links that a run has not written to their end are made again.
+    if start == 0 or not exists(spark, f"{path}/_SUCCESS"):
+        checked_links(nodes, edges).write.mode("overwrite").parquet(path)
+    return spark.read.schema("src bigint, dst bigint, weight double").parquet(path)
+
+
 def read_ranks(spark: SparkSession, state: str, iteration: int) -> DataFrame:
     return spark.read.schema("source bigint, node_id bigint, rank double").parquet(
         iteration_path(state, iteration)

@@ -193,3 +193,15 @@ def test_partitions_of_large_graphs_follow_the_size_of_the_tables(spark, tmp_pat
     links = graph.weighted_links(nodes, again)
     total = links.groupBy("src").sum("weight").agg({"sum(weight)": "min"}).first()[0]
     assert abs(total - 1) < 1e-9
+
+
+def test_a_resumed_run_uses_the_links_of_the_first(tiny, tmp_path, monkeypatch):
+    made, real = [], pagerank.weighted_links
+    monkeypatch.setattr(pagerank, "weighted_links", lambda *graph: made.append(1) or real(*graph))
+    state = str(tmp_path / "state")
+    pagerank.personalized_pagerank(*tiny, [1, 4], 1, state=state)
+    resumed = found(pagerank.personalized_pagerank(*tiny, [1, 4], 5, state=state, start=1))
+    assert resumed == pytest.approx(plain([1, 4], 5)) and len(made) == 1
+    (tmp_path / "state" / "links" / "_SUCCESS").unlink()  # as if the first run had been lost while it wrote
+    resumed = found(pagerank.personalized_pagerank(*tiny, [1, 4], 5, state=state, start=1))
+    assert resumed == pytest.approx(plain([1, 4], 5)) and len(made) == 2
