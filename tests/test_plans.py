@@ -1,7 +1,9 @@
 """Plans have the shape they are meant to have at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from quern.plans import scratch
 from quern.plans.inputs import spread, table
 from quern.plans.queries import all_queries
 
@@ -79,3 +81,15 @@ def test_a_task_gets_one_part_of_the_files_at_most(spark, tmp_path, monkeypatch)
     dealt = inputs.spread(rows)
     assert dealt.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
     assert sorted(r.id for r in dealt.collect()) == list(range(1000))
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(files.apply(i)) for i in range(files.size())}
+
+    before = shuffled()
+    counts = scratch.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert counts.count() == 7 and spark.conf.get(scratch.CLEANUP, None) in (None, "false")
+    left = {f for f in shuffled() - before if f.endswith(".data")}
+    assert len(left) <= 1  # that of the count just made
