@@ -6,10 +6,11 @@ repeats count; training sets add ``model_id``. Models are ``(model_id, feature,
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,9 +21,6 @@ from quern.plans.skew import hot_keys, sliced_join
 RATE = 0.002
 SPAM, HAM = "spam", "ham"
 
-MOST_INSTANCES = 50_000
-
-
 def doc_features(texts: DataFrame, features: Column) -> DataFrame:
     """``(doc_id, feature)``, one row per occurrence."""
     return texts.select("doc_id", F.explode(features).alias("feature"))
@@ -43,17 +41,21 @@ def shuffle_instances(instances: DataFrame, seed: int) -> DataFrame:
 DOCUMENTS_AT_ONCE = 1000
 
 
-def _online_pass(shard: pd.DataFrame, rate: float) -> pd.DataFrame:
-    """One pass of online logistic regression over a training set in the given order.
+def _online_pass(shard: pd.DataFrame, rate: float, model: pd.DataFrame | None = None) -> pd.DataFrame:
+    """One pass of online logistic regression over documents in the given order, going on from
+    ``model`` or from zero weights.
 
-    Beside the training set itself it holds the different features and some documents."""
-    shard = shard.sort_values(["order_key", "doc_id"], kind="stable")
+    Beside the documents themselves it holds the different features, numbers of some documents' features
+    and the model."""
     documents, labels = shard["features"].to_list(), shard["label"].to_list()
     starts = range(0, len(documents), DOCUMENTS_AT_ONCE)
-    names = np.unique(np.concatenate(documents[:1]))
+    known = np.zeros(0, "int32") if model is None else model["feature"].to_numpy()
+    names = known
     for first in starts:
         names = np.union1d(names, np.concatenate(documents[first : first + DOCUMENTS_AT_ONCE]))
     weights = np.zeros(len(names))
+    if model is not None:
+        weights[np.searchsorted(names, known)] = model["weight"]
     for first in starts:
         some = documents[first : first + DOCUMENTS_AT_ONCE]
         found, places = np.unique(np.concatenate(some), return_inverse=True)
@@ -67,33 +69,61 @@ def _online_pass(shard: pd.DataFrame, rate: float) -> pd.DataFrame:
     return pd.DataFrame({"feature": names.astype("int32"), "weight": weights})
 
 
+def _train_in_order(rate: float):
+    """Models of documents that come model by model, each in its order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = model = None
+
+        def fitted() -> pa.RecordBatch:
+            ids = pa.array([current] * len(model), kind)
+            weights = pa.Array.from_pandas(model["weight"])
+            return pa.RecordBatch.from_arrays([ids, pa.array(model["feature"]), weights], ["model_id", "feature", "weight"])
+
+        for batch in batches:
+            ids, kind = batch.column("model_id").to_pylist(), batch.column("model_id").type
+            ends = [i for i in range(1, len(ids)) if ids[i] != ids[i - 1]]
+            for start, end in zip([0, *ends], [*ends, len(ids)]):
+                if start == end:
+                    continue
+                if model is not None and ids[start] != current:
+                    yield fitted()
+                    model = None
+                current = ids[start]
+                shard = batch.slice(start, end - start).select(["label", "features"]).to_pandas()
+                model = _online_pass(shard, rate, model)
+        if model is not None:
+            yield fitted()
+
+    return run
+
+
 def train_sgd(
     instances: DataFrame,
     rate: float = RATE,
-    most_instances: int = MOST_INSTANCES,
+    most_instances: int | None = None,
 ) -> DataFrame:
     """``(model_id, feature, weight)`` by one online pass per model, in order of ``order_key``.
 
-    An online pass is a chain of dependent updates, which one task has to walk. So that it
-    never holds an unbounded group, a model is fitted on a bounded sample: the first
-    ``most_instances`` in its order. Instances beyond them are left out next to the scan.
-    ``train_batch`` learns from all instances of any training set.
+    An online pass is a chain of dependent updates, which one task has to walk. Spark sorts the
+    instances, on disk where they are many; the task reads them once, some at a time, and holds
+    a weight per different feature. So every instance counts, however many a model has.
+    With ``most_instances`` a caller may end the pass after so many instances of each model.
     """
-    order = Window.partitionBy("model_id").orderBy("order_key", "doc_id")
-    used = (
-        instances.where(F.size("features") > 0)
-        .select("model_id", "doc_id", "label", "features", "order_key")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= most_instances)
-    )
-
-    def train(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        fitted = _online_pass(rows, rate)
-        fitted.insert(0, "model_id", key[0])
-        return fitted
-
+    used = instances.where(F.size("features") > 0).select("model_id", "doc_id", "label", "features", "order_key")
+    # Instances of the same key and id come in the order of their content, so that reruns agree.
+    order = [F.col(c).asc_nulls_last() for c in ("order_key", "doc_id", "label", "features")]
+    if most_instances is not None:
+        first = Window.partitionBy("model_id").orderBy(*order)
+        used = used.withColumn("place", F.row_number().over(first)).where(F.col("place") <= most_instances)
+    spark = instances.sparkSession
+    # An explicit number: merging small partitions would put the chains of several models into one task.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ordered = used.repartition(tasks, "model_id").sortWithinPartitions("model_id", *order)
     model_type = instances.schema["model_id"].dataType.simpleString()
-    return used.groupBy("model_id").applyInPandas(train, f"model_id {model_type}, feature int, weight double")
+    return ordered.select("model_id", "label", "features").mapInArrow(
+        _train_in_order(rate), f"model_id {model_type}, feature int, weight double"
+    )
 
 
 def feature_counts(instances: DataFrame, *keys: str) -> DataFrame:
@@ -191,13 +221,13 @@ def shuffle_trials(
     test: DataFrame,
     seeds: list[int],
     rate: float = RATE,
-    most_instances: int = MOST_INSTANCES,
+    most_instances: int | None = None,
     settle: Callable[[DataFrame], DataFrame] = lambda scored: scored,
 ) -> DataFrame:
     """``(model_id, one_minus_roca)``: one training and evaluation per seed, all at once.
 
-    Each seed trains on its own first ``most_instances``, see ``train_sgd``. ``settle`` may round
-    the scores, so that sums in another order tie alike.
+    Each seed trains on all instances, unless ``most_instances`` is given, see ``train_sgd``.
+    ``settle`` may round the scores, so that sums in another order tie alike.
     """
     from quern.operators.evaluate import one_minus_roca
 

@@ -210,3 +210,15 @@ def plain_online_repeats(documents, rate=0.002):
         for f in features:
             w[f] += (label - p) * rate
     return w
+
+
+def test_an_online_pass_over_many_instances_uses_all(spark):
+    """More instances than any former limit, of three models (one without id), in batches that end anywhere."""
+    rng = random.Random(9)
+    docs = [(i, rng.randint(0, 1), [rng.randint(0, 9), 10 + i // 1000], f"{rng.random():.12f}", m)
+            for m, n in ((0, 60_000), (1, 300), (None, 50)) for i in range(n)]
+    rows = spark.createDataFrame(docs, SCHEMA + ", model_id int")
+    models = classify.train_sgd(rows, 0.05).collect()
+    for m in (0, 1, None):
+        got = {r.feature: r.weight for r in models if r.model_id == m}
+        assert got == pytest.approx(plain_online([d[:4] for d in docs if d[4] == m], 0.05), abs=1e-9)
