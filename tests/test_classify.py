@@ -1,5 +1,6 @@
 """Training, scoring, ensembles and ROC against plain loops."""
 
+import hashlib
 import math
 import random
 import tracemalloc
@@ -222,3 +223,15 @@ def test_an_online_pass_over_many_instances_uses_all(spark):
     for m in (0, 1, None):
         got = {r.feature: r.weight for r in models if r.model_id == m}
         assert got == pytest.approx(plain_online([d[:4] for d in docs if d[4] == m], 0.05), abs=1e-9)
+
+
+def test_every_trial_trains_on_all_instances(spark):
+    rng = random.Random(4)
+    docs = [(i, rng.randint(0, 1), [rng.randint(0, 9), 10 + i // 1000]) for i in range(55_000)]
+    rows = spark.createDataFrame(docs, "doc_id bigint, label int, features array<int>")
+    test, scored = rows.where("doc_id % 500 = 0"), []
+    classify.shuffle_trials(rows, test, [3], 0.05, settle=lambda s: scored.append(s) or s)
+    ordered = [(*d, hashlib.md5(f"3:{d[0]}".encode()).hexdigest()) for d in docs]
+    w = plain_online(ordered, 0.05)
+    got = {r.doc_id: r.score for r in scored[0].collect()}
+    assert got == pytest.approx({i: sum(w[f] for f in features) for i, _, features in docs if i % 500 == 0}, abs=1e-9)
