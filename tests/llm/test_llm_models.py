@@ -1,10 +1,14 @@
 """Decontamination, mixing, toxicity, language model, vectors, pages and quotations."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from quern.llm import language_model, toxicity
 from quern.llm.decontaminate import decontaminate
@@ -198,6 +202,55 @@ def test_language_model_chances_sum_to_one():
     assert np.allclose(language_model._chances(weights, k).sum(axis=1), 1, atol=1e-5)
 
 
+def test_language_model_has_features_of_words_within_a_class(spark):
+    """Scores against plain loops; the chances of a class's words add up to one after any word."""
+    from quern.llm.hashing import texts
+
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in "klmnop" for b in ("ab", "ab", "xab", "yab", "q")]
+    docs = [(i, " ".join(rng.choice(words[i % 7 :: 3]) for _ in range(rng.randint(0, 30)))) for i in range(120)]
+    docs += [(500, None), (501, "never Kab met"), (502, "kab kab kab"), docs[3]]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    held = language_model.held_out(rows["doc_id"])
+    taught = [r["text"] for r in rows.where(~held).collect()]
+
+    def read(text):
+        k = language_model.tokens(next(texts(pa.array([text], pa.string()))))
+        seen = ["<", *(text or "").lower().split(), ">"]
+        return k, list(zip(seen, seen[1:], k.classes.tolist()))
+
+    ones, twos, contexts, kind = Counter(), Counter(), Counter(), {}
+    for text in taught:
+        for before, word, c in read(text)[1]:
+            ones[word] += 1
+            twos[before, word] += 1
+            contexts[before, c] += 1
+            kind[word] = c
+    size, different = Counter(), Counter(kind.values())
+    for word, n in ones.items():
+        size[kind[word]] += n
+
+    def chance(before, word, c):
+        share = (ones[word] + 1) / (size[c] + different[c] + 1)
+        n = contexts[before, c]
+        if not n:
+            return share
+        left = 0.75 * sum(1 for b, w in twos if b == before and kind[w] == c) / n
+        return max(twos[before, word] - 0.75, 0) / n + left * share
+
+    for before, c in contexts:
+        known = [w for w in ones if kind[w] == c]
+        assert sum(chance(before, w, c) for w in known) + chance(before, "unknown", c) == pytest.approx(1)
+    for frequent, features in ((1_000_000, 1_000_000), (7, 9)):
+        model = language_model.train(rows.where(~held), most_frequent=frequent, most_features=features)
+        got = {r["id"]: r["score"] for r in language_model.score(rows, model).collect()}
+        for i, text in docs:
+            k, read_in = read(text)
+            p = language_model._chances(model.weights, k)[np.arange(len(k.classes)), k.classes]
+            want = sum(math.log10(x * chance(*token)) for x, token in zip(p.tolist(), read_in))
+            assert got[i] == pytest.approx(want, rel=1e-5, abs=1e-4)
+
+
 def test_vectors_recall(spark):
     rng = np.random.default_rng(7)
     base = rng.normal(size=(2500, 16))
