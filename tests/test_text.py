@@ -287,3 +287,36 @@ def test_bigram_stripes_are_made_from_the_bigrams_at_once(spark, monkeypatch):
     partners = Counter(r.left_word for r in flat)
     cut = {r.left_word for r in flat if r.slice > 0}
     assert cut and all(partners[w] > 3 for w in cut)
+
+
+@pytest.mark.parametrize("most", [0, 4, 1000])
+def test_pairs_of_whole_lines_move_once_as_numbers(spark, most):
+    """Any number of shipped words gives the pairs of all; shipped ones are looked up without a shuffle."""
+    lines = as_lines(spark, [*random_corpus(), "é wa ü wb wa", "", None])
+    for operator, columns in (
+        (cooccur.pmi_occurrence, ("left_word", "right_word", "n")),
+        (cooccur.pmi_forward, ("left_word", "right_word", "n")),
+    ):
+        every = operator(lines)
+        assert "SortMergeJoin" not in every._jdf.queryExecution().executedPlan().toString()
+        want = {(r.left_word, r.right_word): (r.pmi, r.n) for r in every.collect()}
+        got = operator(lines, places_per_block=2, broadcast_words=most)
+        close(got, want)
+        assert got.count() == len(want)
+
+
+def test_later_places_of_blocks_come_in_portions():
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    blocks = [
+        {side: [{"at": i, "word": "w"} for i in sorted(rng.sample(range(30), rng.randint(0, 20)))] for side in ("left", "right")}
+        for _ in range(40)
+    ]
+    kind = pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())]))
+    batch = pa.RecordBatch.from_pylist(blocks, pa.schema([("left", kind), ("right", kind)]))
+    left, right = (batch.column(c).flatten().field("at").to_numpy() for c in ("left", "right"))
+    want = Counter((x["at"], y["at"]) for b in blocks for x in b["left"] for y in b["right"] if y["at"] > x["at"])
+    portions = list(cooccur._later_places(batch, 50))
+    assert Counter((int(left[i]), int(right[j])) for x, y in portions for i, j in zip(x, y)) == want
+    assert len(portions) > 5 and max(len(x) for x, _ in portions) <= 50 + 20 * 2
